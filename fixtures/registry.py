@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortweave.catalog import QUERIES as ENDPOINTS
-from fixtures import oracle_queries
+from fixtures import etl_queries, oracle_etl, oracle_queries
 from fixtures.study_data import duck_ctes, spark_facts, spark_subjects
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +40,8 @@ def _endpoint_queries() -> dict[str, Query]:
     return out
 
 
-def with_tables(tables: tuple[str, ...], sql: str) -> str:
+def with_tables(heads: list[str], sql: str) -> str:
     """Prefix ``sql`` with the fixture's tables as CTEs."""
-    heads = duck_ctes(*tables)
     body = sql.strip()
     if body.upper().startswith("WITH RECURSIVE"):
         return "WITH RECURSIVE " + ",\n".join(heads) + ",\n" + body[len("WITH RECURSIVE"):].lstrip()
@@ -52,11 +51,12 @@ def with_tables(tables: tuple[str, ...], sql: str) -> str:
 
 
 def queries() -> dict[str, Query]:
-    return _endpoint_queries()
+    return {**_endpoint_queries(), **etl_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {}
-    for source in (oracle_queries.QUERIES,):
-        out.update({name: with_tables(*spec) for name, spec in source.items()})
+    out = {name: with_tables(duck_ctes(*tables), sql)
+           for name, (tables, sql) in oracle_queries.QUERIES.items()}
+    for name, (forms, tables, sql) in oracle_etl.QUERIES.items():
+        out[name] = with_tables(oracle_etl.heads(forms) + duck_ctes(*tables), sql)
     return out
