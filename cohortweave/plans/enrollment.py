@@ -55,7 +55,7 @@ def _answers(facts: DataFrame, study: str) -> DataFrame:
     raise ValueError(f"unknown study: {study}")
 
 
-def eligibility(subjects: DataFrame, facts: DataFrame, *, study: str) -> DataFrame:
+def eligibility_rows(subjects: DataFrame, facts: DataFrame, study: str) -> DataFrame:
     """One row per subject and criterion, with STUDY_A's screening-failure reasons.
 
     A null answer leaves ``criterion_met`` null.
@@ -71,11 +71,18 @@ def eligibility(subjects: DataFrame, facts: DataFrame, *, study: str) -> DataFra
         out = out.join(reasons, "subject_key", "left")
     else:
         out = out.withColumn("reason", F.lit(None).cast("string"))
-    return out.orderBy(
+    return out.withColumn(
+        "criterion_met",
+        F.when(F.col("category") == "EXCLUSION", answer.isin("N", "No"))
+         .otherwise(answer.isin("Y", "Yes"))
+    ).withColumn("visitnum", F.col("visitnum").cast("double"))
+
+
+ELIGIBILITY = ["subjid", "scrno", "category", "criterion", "answer", "criterion_met", "reason", "visitnum"]
+
+
+def eligibility(subjects: DataFrame, facts: DataFrame, *, study: str) -> DataFrame:
+    return eligibility_rows(subjects, facts, study).orderBy(
         F.asc_nulls_last("subjid"), F.desc_nulls_first("category"),
         F.asc_nulls_last("criterion_id"), F.asc_nulls_last("visitnum"),
-    ).select(
-        "subjid", "scrno", "category", "criterion", "answer",
-        F.when(F.col("category") == "EXCLUSION", answer.isin("N", "No"))
-         .otherwise(answer.isin("Y", "Yes")).alias("criterion_met"),
-        "reason", F.col("visitnum").cast("double").alias("visitnum"))
+    ).select(*ELIGIBILITY)

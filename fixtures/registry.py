@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortweave.catalog import QUERIES as ENDPOINTS
-from fixtures import etl_queries, oracle_etl, oracle_queries
+from fixtures import etl_queries, oracle_etl, oracle_queries, page_queries, retrieval_queries
 from fixtures.study_data import duck_ctes, spark_facts, spark_subjects
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,12 @@ def with_tables(heads: list[str], sql: str) -> str:
 
 
 def queries() -> dict[str, Query]:
-    return {**_endpoint_queries(), **etl_queries.QUERIES}
+    return {
+        **_endpoint_queries(),
+        **etl_queries.QUERIES,
+        **{name: query for name, (query, _, _) in page_queries.PAGES.items()},
+        **{name: query for name, (query, _) in retrieval_queries.RETRIEVAL.items()},
+    }
 
 
 def oracle_sql() -> dict[str, str]:
@@ -59,4 +64,7 @@ def oracle_sql() -> dict[str, str]:
            for name, (tables, sql) in oracle_queries.QUERIES.items()}
     for name, (forms, tables, sql) in oracle_etl.QUERIES.items():
         out[name] = with_tables(oracle_etl.heads(forms) + duck_ctes(*tables), sql)
+    for name, (_, tables, sql) in page_queries.PAGES.items():
+        out[name] = with_tables(duck_ctes(*tables), sql)
+    out.update({name: sql.strip() for name, (_, sql) in retrieval_queries.RETRIEVAL.items() if sql})
     return out
