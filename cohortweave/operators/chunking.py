@@ -107,7 +107,7 @@ def with_chunk_id(packed: DataFrame) -> DataFrame:
     one block of document ids.
     """
     numbered = sequence_within(
-        packed, keys=[], buckets=[row_block(F.col("doc_id"), 1 << 16)], order=[F.col("doc_id")],
+        packed, keys=[], buckets=[row_block(F.col("doc_id"), 16)], order=["doc_id"],
         before={"chunks_before": F.size("chunks")})
     return numbered.select(
         "doc_id", "chunks_before", F.posexplode("chunks").alias("chunk_no", "text")).select(

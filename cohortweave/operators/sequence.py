@@ -3,36 +3,42 @@
 A plain window sorts a whole group in one task. Here each group is cut into
 order-preserving buckets (the leading sort keys, for instance a visit and a block of
 row numbers). Per-bucket totals are small and are accumulated by a window over the
-buckets; the rows themselves are only ever sorted inside their own bucket. The result
-equals the plain window, and one group holding a third of all rows is spread over as
-many tasks as it has buckets.
+buckets; what a bucket inherits from its neighbours joins its rows as one extra row, and
+the rows themselves are only ever sorted inside their own bucket. The result equals the
+plain window, the rows are shuffled once, and one group holding a third of all rows is
+spread over as many tasks as it has buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROW_BLOCK = 1 << 20
+ROW_BLOCK_BITS = 20
+
+# Where a row stands in its bucket: what earlier buckets hand over, the rows, what later
+# buckets hand back.
+_HEAD, _BODY, _TAIL = 0, 1, 2
 
 
 def nulls_last(col: Column) -> list[Column]:
     return [col.isNull(), col]
 
 
-def row_block(col: Column, size: int = ROW_BLOCK) -> Column:
-    """Number of the block of ``size`` consecutive ids that ``col`` falls in."""
-    return F.floor(col / F.lit(size)) if size & (size - 1) else F.shiftright(
-        col.cast("bigint"), size.bit_length() - 1)
+def row_block(col: Column, bits: int = ROW_BLOCK_BITS) -> Column:
+    """Number of the block of ``2**bits`` consecutive ids that ``col`` falls in."""
+    return F.shiftright(col.cast("bigint"), bits)
 
 
 def sequence_within(
     df: DataFrame,
-    keys: Sequence[Column],
+    keys: Sequence[str],
     buckets: Sequence[Column],
-    order: Sequence[Column],
+    order: Sequence[str],
     before: Mapping[str, Column] | None = None,
     fills: Mapping[str, Column] | None = None,
 ) -> DataFrame:
@@ -42,46 +48,54 @@ def sequence_within(
     (weight 1 gives the 0-based row number).
     ``fills``: name -> value; the value itself, else the nearest earlier non-null one,
     else the nearest later one.
+    Null keys form a group like any other.
     """
     before, fills = before or {}, fills or {}
-    # Structs compare null-safely, so null keys form one group like any other.
-    keyed = df.select(
-        "*",
-        F.struct(*[c.alias(f"k{i}") for i, c in enumerate(keys or [F.lit(0)])]).alias("_key"),
-        F.struct(*[c.alias(f"b{i}") for i, c in enumerate(buckets)]).alias("_bucket"),
-        F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("_order"),
-        *[w.cast("bigint").alias(f"_w_{n}") for n, w in before.items()],
-        *[v.alias(f"_v_{n}") for n, v in fills.items()],
-    )
-
-    totals = keyed.groupBy("_key", "_bucket").agg(
-        *[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in before],
-        *[a for n in fills for a in (
-            F.expr(f"max_by(_v_{n}, _order) FILTER (WHERE _v_{n} IS NOT NULL)").alias(f"_last_{n}"),
-            F.expr(f"min_by(_v_{n}, _order) FILTER (WHERE _v_{n} IS NOT NULL)").alias(f"_first_{n}"),
-        )],
-    )
-    over_buckets = Window.partitionBy("_key").orderBy("_bucket")
-    earlier = over_buckets.rowsBetween(Window.unboundedPreceding, -1)
-    later = over_buckets.rowsBetween(1, Window.unboundedFollowing)
-    offsets = totals.select(
-        "_key", "_bucket",
-        *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_t_{n}") for n in before],
-        *[F.last(f"_last_{n}", ignorenulls=True).over(earlier).alias(f"_prev_{n}") for n in fills],
-        *[F.first(f"_first_{n}", ignorenulls=True).over(later).alias(f"_next_{n}") for n in fills],
-    )
-
-    inside = Window.partitionBy("_key", "_bucket").orderBy("_order")
-    ahead = inside.rowsBetween(Window.unboundedPreceding, -1)
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    onward = inside.rowsBetween(0, Window.unboundedFollowing)
-    replaced = {*before, *fills}
-    return keyed.join(offsets, ["_key", "_bucket"]).select(
-        *[c for c in df.columns if c not in replaced],
-        *[(F.col(f"_t_{n}") + F.coalesce(F.sum(f"_w_{n}").over(ahead), F.lit(0))).alias(n)
-          for n in before],
-        *[F.coalesce(
-            F.last(f"_v_{n}", ignorenulls=True).over(upto), F.col(f"_prev_{n}"),
-            F.first(f"_v_{n}", ignorenulls=True).over(onward), F.col(f"_next_{n}"),
-          ).alias(n) for n in fills],
-    )
+    weight, value = {n: f"_w_{n}" for n in before}, {n: f"_v_{n}" for n in fills}
+    places = [f"_b{i}" for i in range(len(buckets))]
+    body = df.select(
+        "*", *[b.alias(p) for b, p in zip(buckets, places)],
+        *[w.cast("bigint").alias(weight[n]) for n, w in before.items()],
+        *[v.alias(value[n]) for n, v in fills.items()], F.lit(_BODY).alias("_at"))
+    cell = [*keys, *places]
+
+    rank = F.struct(*order)
+    totals = body.groupBy(*cell).agg(
+        *[F.sum(w).alias(w) for w in weight.values()],
+        *[a for v in value.values() for a in (
+            F.max_by(v, F.when(F.col(v).isNotNull(), rank)).alias(f"{v}_last"),
+            F.min_by(v, F.when(F.col(v).isNotNull(), rank)).alias(f"{v}_first"),
+        )])
+    # Backward looks use a descending window: a frame that follows the row to the end of
+    # the partition would be recomputed for every row.
+    ahead = Window.partitionBy(*keys).orderBy(*places).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(*keys).orderBy(*[F.desc(p) for p in places]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    handed = totals.select(
+        *cell, *[F.sum(w).over(ahead).alias(w) for w in weight.values()],
+        *[F.last(f"{v}_last", ignorenulls=True).over(ahead).alias(f"{v}_last") for v in value.values()],
+        *[F.last(f"{v}_first", ignorenulls=True).over(behind).alias(f"{v}_first") for v in value.values()])
+
+    def extra(at: int, columns: dict[str, str]) -> DataFrame:
+        some = reduce(or_, [F.col(c).isNotNull() for c in columns.values()])
+        return handed.where(some).select(
+            *cell, *[F.col(c).alias(n) for n, c in columns.items()], F.lit(at).alias("_at"))
+
+    head = {w: w for w in weight.values()} | {v: f"{v}_last" for v in value.values()}
+    rows = body.unionByName(extra(_HEAD, head), allowMissingColumns=True)
+    if value:
+        rows = rows.unionByName(
+            extra(_TAIL, {v: f"{v}_first" for v in value.values()}), allowMissingColumns=True)
+
+    inside = Window.partitionBy(*cell)
+    forward, backward = inside.orderBy("_at", *order), inside.orderBy(
+        F.desc("_at"), *[F.desc(o) for o in order])
+    earlier = forward.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = forward.rowsBetween(Window.unboundedPreceding, 0)
+    from_end = backward.rowsBetween(Window.unboundedPreceding, 0)
+    done = rows.select(
+        *[c for c in df.columns if c not in {*before, *fills}], "_at",
+        *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(n) for n, w in weight.items()],
+        *[F.coalesce(F.last(v, ignorenulls=True).over(so_far),
+                     F.last(v, ignorenulls=True).over(from_end)).alias(n) for n, v in value.items()])
+    return done.where(F.col("_at") == _BODY).drop("_at")

@@ -86,7 +86,7 @@ def resolve_subjects(rows: DataFrame, seen: str, existing: DataFrame | None = No
         last_key = existing.agg(F.max("subject_key")).first()[0] or 0
     registered = cut_lineage(sequence_within(
         _registrations(named, claimed), keys=[],
-        buckets=[F.col("source_study"), row_block(F.col("seen"))], order=[F.col("seen")],
+        buckets=[F.col("source_study"), row_block(F.col("seen"))], order=["seen"],
         before={"earlier": F.lit(1)},
     ).withColumn("subject_key", F.col("earlier") + 1 + last_key).drop("earlier"))
 

@@ -85,7 +85,7 @@ def ie_sequence(columns: Sequence[str], mapping: Iterable[Entry], study: str) ->
 def number_rows(packed: DataFrame) -> DataFrame:
     """``cells_before``: cells of the domain ahead of this row (forms in dictionary order)."""
     return sequence_within(
-        packed, keys=[], buckets=[F.col("form_order"), row_block(F.col(ROW))], order=[F.col(ROW)],
+        packed, keys=[], buckets=[F.col("form_order"), row_block(F.col(ROW))], order=[ROW],
         before={"cells_before": F.size("cells")})
 
 
@@ -101,9 +101,9 @@ def assign_seqnum(packed: DataFrame) -> DataFrame:
     subject identifier is one (possibly very large) group like any other.
     """
     return sequence_within(
-        packed, keys=[F.col("subjid")],
+        packed, keys=["subjid"],
         buckets=[*visit_order(F.col("visitnum")), F.col("source_form"), row_block(F.col(ROW))],
-        order=[F.col(ROW)], before={"seqnum": F.lit(1)},
+        order=[ROW], before={"seqnum": F.lit(1)},
     ).withColumn("seqnum", (F.col("seqnum") + 1).cast("int"))
 
 

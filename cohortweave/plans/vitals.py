@@ -19,7 +19,7 @@ TEST_PATTERNS = (
     ("%WEIGHT%", "Weight"),
 )
 
-FACT_BLOCK = 1 << 22
+FACT_BLOCK_BITS = 22
 
 
 def test_display(name: Column) -> Column:
@@ -36,9 +36,9 @@ def positional_measurements(facts: DataFrame) -> DataFrame:
     kinds = domain(facts, "vs", STUDY_A, ["VSTEST", "VSORRES", "VSORRESU"])
     numbered = sequence_within(
         kinds.select("subject_key", "visitnum", "standard_var", "value", "fact_id"),
-        keys=[F.col("subject_key"), F.col("visitnum"), F.col("standard_var")],
-        buckets=[row_block(F.col("fact_id"), FACT_BLOCK)],
-        order=[F.col("fact_id")],
+        keys=["subject_key", "visitnum", "standard_var"],
+        buckets=[row_block(F.col("fact_id"), FACT_BLOCK_BITS)],
+        order=["fact_id"],
         before={"position": F.lit(1)})
     return eav_pivot(
         numbered, ["subject_key", "visitnum", "position"],
