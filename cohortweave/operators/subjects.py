@@ -54,7 +54,7 @@ def _registrations(sightings: DataFrame, claimed: DataFrame | None) -> DataFrame
         settled = _held_ids(open_, "seen").join(claims, id_key, "left_semi").select(*SIGHTING)
         return open_.join(settled, SIGHTING, "left_anti")
 
-    open_ = cut_lineage(sightings if claimed is None else unsettled(sightings, claimed))
+    open_ = sightings if claimed is None else cut_lineage(unsettled(sightings, claimed))
     registered = None
     while not open_.isEmpty():
         held = _held_ids(open_, "seen")

@@ -49,29 +49,35 @@ def visit_column(df: DataFrame, study: str, domain: str) -> str | None:
     return "visitnum" if domain in STUDY_B_VISIT_DOMAINS and "visitnum" in df.columns else None
 
 
-def pack_form(df: DataFrame, mapping: Sequence[Entry], study: str, domain: str) -> DataFrame:
-    """One row per source row that has at least one cell for ``domain``."""
+def pack_form(df: DataFrame, mapping: Sequence[Entry], study: str) -> DataFrame:
+    """One row per source row and domain that has at least one cell, from one scan of the
+    form whatever number of domains it feeds."""
     if ROW not in df.columns:
         raise KeyError(f"a form needs the column {ROW}")
+    by_domain: dict[str, list[Entry]] = {}
+    for m in mapping:
+        by_domain.setdefault(m.domain, []).append(m)
+    shares = [
+        F.struct(
+            F.lit(domain).alias("domain"), F.lit(rows[0].ordinal).alias("form_order"),
+            blank_to_null(column_or_null(df, visit_column(df, study, domain))).alias("visitnum"),
+            mapped_cells(df, rows).alias("cells"))
+        for domain, rows in by_domain.items()]
     return df.select(
         column_or_null(df, "studyid").alias("studyid"), column_or_null(df, "subjid").alias("subjid"),
         (column_or_null(df, "scrno") if study == STUDY_A else F.lit(None).cast("string")).alias("scrno"),
-        blank_to_null(column_or_null(df, visit_column(df, study, domain))).alias("visitnum"),
-        F.lit(mapping[0].source_form).alias("source_form"),
-        F.lit(mapping[0].ordinal).alias("form_order"),
-        F.col(ROW).cast("bigint").alias(ROW),
-        mapped_cells(df, mapping).alias("cells"),
+        F.lit(mapping[0].source_form).alias("source_form"), F.col(ROW).cast("bigint").alias(ROW),
+        F.inline(F.array(*shares)),
     ).where(F.size("cells") > 0)
 
 
 def ie_sequence(columns: Sequence[str], mapping: Iterable[Entry], study: str) -> dict[int, int]:
     """Sequence number of eligibility columns: the column's place in the form (STUDY_A),
     or the place of its criterion, ``in1``, ``ex2``, ..., by first appearance (STUDY_B)."""
-    ordered = [c for c in columns if c != ROW]
     wanted = {m.source_var for m in mapping}
     number: dict[str, int] = {}
     criteria: dict[str, int] = {}
-    for place, column in enumerate(ordered, start=1):
+    for place, column in enumerate((c for c in columns if c != ROW), start=1):
         if column not in wanted:
             continue
         if study == STUDY_B:
@@ -85,7 +91,7 @@ def ie_sequence(columns: Sequence[str], mapping: Iterable[Entry], study: str) ->
 def number_rows(packed: DataFrame) -> DataFrame:
     """``cells_before``: cells of the domain ahead of this row (forms in dictionary order)."""
     return sequence_within(
-        packed, keys=[], buckets=[F.col("form_order"), row_block(F.col(ROW))], order=[ROW],
+        packed, keys=["domain"], buckets=[F.col("form_order"), row_block(F.col(ROW))], order=[ROW],
         before={"cells_before": F.size("cells")})
 
 
@@ -95,13 +101,13 @@ def visit_order(visit: Column) -> list[Column]:
 
 
 def assign_seqnum(packed: DataFrame) -> DataFrame:
-    """Running event number per subject: by visit, then form, then source row.
+    """Running event number per domain and subject: by visit, then form, then source row.
 
     An event is a packed row, so nothing is deduplicated or joined back, and a missing
     subject identifier is one (possibly very large) group like any other.
     """
     return sequence_within(
-        packed, keys=["subjid"],
+        packed, keys=["domain", "subjid"],
         buckets=[*visit_order(F.col("visitnum")), F.col("source_form"), row_block(F.col(ROW))],
         order=[ROW], before={"seqnum": F.lit(1)},
     ).withColumn("seqnum", (F.col("seqnum") + 1).cast("int"))
@@ -109,39 +115,30 @@ def assign_seqnum(packed: DataFrame) -> DataFrame:
 
 def explode_cells(packed: DataFrame, mapping: DataFrame) -> DataFrame:
     """One row per cell; the join side is as small as the dictionary."""
+    described = set(mapping.columns)
     return packed.select(
-        *[c for c in packed.columns if c not in ("cells", "source_form")],
+        *[c for c in packed.columns if c != "cells" and c not in described],
         F.posexplode("cells").alias("cell_no", "cell"),
     ).select("*", "cell.mapping", "cell.value").drop("cell").join(mapping, "mapping")
 
 
-def unpivot_domain(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str,
-                   domain: str) -> DataFrame | None:
-    """All forms of one domain to numbered rows, or None when no form exists."""
+def unpivot_forms(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str) -> DataFrame:
+    """All mapped forms that exist to numbered rows, one per recorded cell."""
     by_form: dict[str, list[Entry]] = {}
     for m in mapping:
-        if m.domain == domain:
+        if m.source_form in forms:
             by_form.setdefault(m.source_form, []).append(m)
-    parts, ie_seq = [], {}
+    if not by_form:
+        raise ValueError(f"no form of {study} is named in the dictionary")
+    packed, ie_seq = None, {}
     for form, rows in by_form.items():
-        if form in forms:
-            parts.append(pack_form(forms[form], rows, study, domain))
-            if domain == "IE":
-                ie_seq.update(ie_sequence(forms[form].columns, rows, study))
-    if not parts:
-        return None
-    packed = parts[0]
-    for part in parts[1:]:
-        packed = packed.unionByName(part)
-
-    numbered = number_rows(packed)
-    known = [m for rows in by_form.values() for m in rows]
-    spark = packed.sparkSession
-    if domain == "IE":
-        rows = explode_cells(numbered, entries_frame(spark, known, seqnum=ie_seq))
-    else:
-        rows = explode_cells(assign_seqnum(numbered), entries_frame(spark, known))
+        part = pack_form(forms[form], rows, study)
+        packed = part if packed is None else packed.unionByName(part)
+        ie_seq.update(ie_sequence(forms[form].columns, [m for m in rows if m.domain == "IE"], study))
+
+    known = entries_frame(packed.sparkSession, (m for rows in by_form.values() for m in rows), ie_seq=ie_seq)
+    rows = explode_cells(assign_seqnum(number_rows(packed)), known)
     return rows.select(
         (F.col("cells_before") + F.col("cell_no") + 1).alias("row_id"),
         "studyid", "subjid", "scrno", "domain", "standard_var", "standard_label", "value",
-        "source_form", "source_var", "visitnum", "seqnum")
+        "source_form", "source_var", "visitnum", F.coalesce("ie_seq", "seqnum").alias("seqnum"))

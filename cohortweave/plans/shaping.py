@@ -65,17 +65,27 @@ def pe_by_visit(findings: DataFrame, study: str | None = None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ medical history
+def _on_question(counts: DataFrame, per_question: DataFrame) -> DataFrame:
+    c, q = counts.alias("c"), per_question.alias("q")
+    same = (F.col("c.source_study") == F.col("q.source_study")) & F.col("c.question").eqNullSafe(F.col("q.question"))
+    added = [f"q.{name}" for name in per_question.columns if name not in ("source_study", "question")]
+    return c.join(q, same).select("c.*", *added)
+
+
 def question_ids(counts: DataFrame) -> DataFrame:
     """``Q1``, ``Q2``, ... per study in question order (the input has one row per study,
     question and response)."""
-    place = F.dense_rank().over(
+    # Questions come from the dictionary, responses may be free text: rank the former only.
+    place = F.row_number().over(
         Window.partitionBy("source_study").orderBy(F.asc_nulls_last("question")))
-    return counts.withColumn("qid", F.concat(F.lit("Q"), place))
+    ids = counts.select("source_study", "question").distinct().withColumn(
+        "qid", F.concat(F.lit("Q"), place))
+    return _on_question(counts, ids)
 
 
 def response_share(counts: DataFrame) -> DataFrame:
-    whole = F.sum("n").over(Window.partitionBy("source_study", "question"))
-    return counts.withColumn("pct", share(F.col("n"), whole))
+    whole = counts.groupBy("source_study", "question").agg(F.sum("n").alias("_whole"))
+    return _on_question(counts, whole).withColumn("pct", share(F.col("n"), F.col("_whole"))).drop("_whole")
 
 
 def onset_dated(onset: DataFrame) -> DataFrame:
@@ -83,7 +93,7 @@ def onset_dated(onset: DataFrame) -> DataFrame:
     number = substring_from(F.col("person_id"), r"([0-9]+)\z")
     return onset.withColumn("date", study_date(F.col("start_raw"))).where(F.col("date").isNotNull()).select(
         "*", F.date_format("date", "yyyy-MM-dd").alias("date_iso"),
-        number.cast("bigint").alias("person_num"),
+        number.try_cast("bigint").alias("person_num"),
     ).orderBy(F.asc_nulls_last("person_num"), "source_study", "date")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +13,28 @@ from cohortweave.schema import FACTS
 PARTITIONS = ["domain", "source_study"]
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, in the folder the session names for checkpoints."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it for checkpoints. Only a
+    local session may fall back to a folder of its own."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="cohortweave-checkpoints-")
-        if folder is None:
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="cohortweave-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` as a table in the shared folder and read it back.
+
+    Columnar, so later reads are pruned; on shared storage, so it outlives executors; and
+    of known size, so joins against it are planned from facts.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_facts(facts: DataFrame, path: str, files_per_partition: int = 1) -> None:

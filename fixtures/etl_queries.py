@@ -12,6 +12,7 @@ from cohortweave.operators.subjects import resolve_subjects
 from cohortweave.operators.unpivot import ROW
 from cohortweave.plans import etl
 from cohortweave.schema import STUDY_A, STUDY_B, STUDY_C, domain_registry
+from cohortweave.sources.store import cut_lineage
 from fixtures import oracle_etl
 from fixtures.study_data import spark_facts, spark_subjects
 from fixtures.wide_data import spark_dictionary, spark_form
@@ -63,7 +64,8 @@ def rejected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_facts(spark: SparkSession, sf: str) -> DataFrame:
-    loaded = etl.load_checkpoints({STUDY_A: unpivot_a(spark, sf), STUDY_B: unpivot_b(spark, sf)})
+    checkpoints = {STUDY_A: cut_lineage(unpivot_a(spark, sf)), STUDY_B: cut_lineage(unpivot_b(spark, sf))}
+    loaded = etl.load_checkpoints(checkpoints)
     return loaded.facts.withColumn("visitnum", F.col("visitnum").cast("double"))
 
 

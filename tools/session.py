@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -18,6 +16,4 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortweave-"))
     return spark
