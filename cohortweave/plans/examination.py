@@ -26,15 +26,16 @@ def pe_abnormal(subjects: DataFrame | None, facts: DataFrame) -> DataFrame:
         F.when(F.col("source_study") == STUDY_B, substring_from(label, r"<([^>]+)>"))
          .otherwise(label).alias("body_system"))
 
+    # Systems and subjects are made distinct side by side in one pass; the list aggregate
+    # then sees each body system once per visit.
     abnormal = paired.unionByName(labelled)
     keys = ["source_study", "visitnum"]
-    # Distinct first: the list aggregate then sees each body system once per visit.
-    systems = abnormal.select(*keys, "body_system").distinct().groupBy(*keys).agg(
-        ordered_list("body_system").alias("abnormal_systems"))
-    counts = abnormal.groupBy(*keys).agg(
-        F.count_distinct("subject_key").alias("subjects_with_abnormal"))
-    same = (systems.source_study == counts.source_study) & systems.visitnum.eqNullSafe(counts.visitnum)
-    return systems.join(counts, same).select(
-        systems.source_study, systems.visitnum.cast("double").alias("visitnum"),
-        "abnormal_systems", "subjects_with_abnormal",
-    ).orderBy("source_study", F.asc_nulls_last("visitnum"))
+    no_subject, no_system = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    items = abnormal.select(*keys, F.inline(F.array(
+        F.struct(F.col("body_system"), no_subject.alias("subject_key")),
+        F.struct(no_system.alias("body_system"), F.col("subject_key"))))).distinct()
+    return items.groupBy(*keys).agg(
+        ordered_list("body_system").alias("abnormal_systems"),
+        F.count("subject_key").alias("subjects_with_abnormal"),
+    ).withColumn("visitnum", F.col("visitnum").cast("double")).orderBy(
+        "source_study", F.asc_nulls_last("visitnum"))

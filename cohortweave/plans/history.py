@@ -32,16 +32,18 @@ def mh_questions(subjects: DataFrame, facts: DataFrame) -> DataFrame:
         F.when(F.bool_or(response == "Yes"), "Yes")
          .when(F.bool_or(response == "No"), "No")
          .otherwise(F.max(response)).alias("response"))
-    counts = per_subject.groupBy("source_study", "question", "response").agg(F.count("*").alias("n"))
-
+    # Counts per response and, in the same pass, per question.
+    keys = ["source_study", "question", "response"]
+    counts = per_subject.groupingSets([keys, keys[:2]], *keys).agg(
+        F.count("*").alias("n"), F.grouping("response").alias("over_all"))
     enrolled = subjects.groupBy("source_study").agg(F.count("*").alias("n_subjects"))
-    missing = counts.groupBy("source_study", "question").agg(F.sum("n").alias("answered")).join(
-        enrolled, "source_study"
-    ).select(
-        "source_study", "question", F.lit("Not recorded").alias("response"),
-        (F.col("n_subjects") - F.col("answered")).alias("n"),
-    ).where(F.col("n") > 0)
-    return counts.unionByName(missing).orderBy(
+    unanswered = F.col("over_all") == 1
+    return counts.join(enrolled, "source_study", "left").select(
+        "source_study", "question",
+        F.when(unanswered, "Not recorded").otherwise(F.col("response")).alias("response"),
+        F.when(unanswered, F.col("n_subjects") - F.col("n")).otherwise(F.col("n")).alias("n"),
+        unanswered.alias("unanswered"),
+    ).where(~F.col("unanswered") | (F.col("n") > 0)).drop("unanswered").orderBy(
         "source_study", F.asc_nulls_last("question"), F.asc_nulls_last("response"))
 
 
