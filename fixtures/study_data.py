@@ -50,13 +50,21 @@ SELECT c_custkey AS subject_key,
 FROM {{customer}}"""
 
 
-def _orders(q: Dialect, where: str) -> str:
+def _of_study(key: str, where: str, place: int | None) -> tuple[str, str]:
+    """Study expression and filter; a literal study lets a filter on it drop the branch."""
+    if place is None:
+        return _study(key), where
+    return f"'STUDY_{'ABC'[place]}'", f"{key} % 3 = {place} AND ({where})"
+
+
+def _orders(q: Dialect, where: str, place: int | None = None) -> str:
     half = q.idiv("o_orderkey", 2)
+    study, where = _of_study("o_custkey", where, place)
     return f"""
 SELECT o_custkey AS s, o_orderkey AS k, CAST(o_orderdate AS DATE) AS d,
        o_orderpriority AS p, o_orderstatus AS st,
        o_orderkey * 200 AS id0,
-       {_study('o_custkey')} AS source_study,
+       {study} AS source_study,
        CAST(o_orderkey % 2147483647 AS INT) AS seq0,
        CASE WHEN o_custkey % 3 = 0 THEN
                  CASE WHEN o_orderkey % 17 <> 0 THEN {_visit(f'1 + {half} % 13')} END
@@ -65,11 +73,12 @@ FROM {{orders}}
 WHERE {where}"""
 
 
-def _customers(q: Dialect, where: str) -> str:
+def _customers(q: Dialect, where: str, place: int | None = None) -> str:
+    study, where = _of_study("c_custkey", where, place)
     return f"""
 SELECT c_custkey AS s, c_custkey AS k, c_mktsegment AS p,
        c_custkey * 200 + 100 AS id0,
-       {_study('c_custkey')} AS source_study,
+       {study} AS source_study,
        CAST(1 AS INT) AS seq0, {_visit(1)} AS visit0
 FROM {{customer}}
 WHERE {where}"""
@@ -126,12 +135,12 @@ def _domain_rows(q: Dialect, domain: str) -> list[tuple[str, list[dict[str, str]
             seq_visit = (f"CAST({seq} AS INT)", _visit(visit))
             rows.append(_row(_when(held, "'EXSTDTC'"), "'Start Date'", when, *seq_visit))
             rows.append(_row(_when(held, "'EXTRT'"), "'Treatment'", "'VACCINE'", *seq_visit))
-        return [(_customers(q, "c_custkey % 3 = 0"), rows)]
+        return [(_customers(q, "true", 0), rows)]
 
     if domain == "ae":
         seq = f"CASE WHEN k % 211 = 0 THEN {NULL_INT} ELSE seq0 END"
         third = q.idiv("k", 3)
-        return [(_orders(q, "o_custkey % 3 = 0 AND o_orderkey % 2 = 1"), [
+        return [(_orders(q, "o_orderkey % 2 = 1", 0), [
             _row("'AETERM'", "'Term'", "p", seq),
             _row("'AESTDTC'", "'Start Date'",
                  f"CASE WHEN k % 97 = 0 THEN 'UNK' ELSE {q.dmy('d')} END", seq),
@@ -180,9 +189,9 @@ def _domain_rows(q: Dialect, domain: str) -> list[tuple[str, list[dict[str, str]
                 f"CASE WHEN (s + {i}) % 31 = 0 THEN NULL WHEN (s + {i}) % 61 = 0 THEN 'unknown'"
                 f" WHEN ({n} + {i}) % 9 = 0 THEN '{bad}' ELSE '{good}' END", *at))
         return [
-            (_customers(q, "c_custkey % 3 = 0"), screened),
-            (_customers(q, "c_custkey % 3 = 1"), criteria_b),
-            (_customers(q, "c_custkey % 3 = 2"), criteria_c),
+            (_customers(q, "true", 0), screened),
+            (_customers(q, "true", 1), criteria_b),
+            (_customers(q, "true", 2), criteria_c),
         ]
 
     if domain == "mh":
@@ -226,23 +235,26 @@ def _domain_rows(q: Dialect, domain: str) -> list[tuple[str, list[dict[str, str]
             ("Weight", "kg", "CAST(45 + k % 50 AS STRING)"),
             ("Respiratory Rate", "breaths/minute", "CAST(12 + k % 9 AS STRING)"),
         )
-        rows = []
+        paired, separate, combined = [], [], []
         for i, (test, unit, reading) in enumerate(tests):
             value = (f"CASE WHEN k % 23 = {i} THEN 'ND' WHEN k % 37 = {i} THEN '-1'"
                      f" WHEN k % 41 = {i} THEN '1e2' ELSE {reading} END")
-            rows += [
-                _row(_when(a, "'VSTEST'"), "'Test'", f"'{test}'"),
-                _row(_when(f"NOT ({a} AND k % 31 = {i})", "'VSORRES'"),
-                     f"CASE WHEN {a} THEN 'Result' WHEN {b} THEN '{test}'"
-                     f" ELSE '{test} ({unit})' END", value),
-                _row(_when(f"({a} AND k % 19 <> {i}) OR ({b} AND k % 2 = 0)", "'VSORRESU'"),
-                     f"CASE WHEN {a} THEN 'Unit' ELSE '{test.upper()} Unit' END", f"'{unit}'"),
+            paired += [
+                _row("'VSTEST'", "'Test'", f"'{test}'"),
+                _row(_when(f"k % 31 <> {i}", "'VSORRES'"), "'Result'", value),
+                _row(_when(f"k % 19 <> {i}", "'VSORRESU'"), "'Unit'", f"'{unit}'"),
+            ]
+            separate += [
+                _row("'VSORRES'", f"'{test}'", value),
+                _row(_when("k % 2 = 0", "'VSORRESU'"), f"'{test.upper()} Unit'", f"'{unit}'"),
             ]
-        return [(_orders(q, "true"), rows)]
+            combined.append(_row("'VSORRES'", f"'{test} ({unit})'", value))
+        return [(_orders(q, "true", place), rows)
+                for place, rows in enumerate((paired, separate, combined))]
 
     if domain == "lb":
         result = "k % 100"
-        return [(_orders(q, "o_custkey % 3 = 0 AND o_orderkey % 2 = 0"), [
+        return [(_orders(q, "o_orderkey % 2 = 0", 0), [
             _row("'LBTEST'", "'Test'",
                  "CASE k % 5 WHEN 0 THEN 'Albumin' WHEN 1 THEN 'Creatinine' WHEN 2 THEN 'Glucose'"
                  " WHEN 3 THEN 'Hemoglobin' ELSE 'Platelets' END"),
