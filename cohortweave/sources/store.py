@@ -37,17 +37,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_facts(facts: DataFrame, path: str, files_per_partition: int = 1) -> None:
+def write_facts(facts: DataFrame, path: str) -> None:
     """Write one directory per (domain, study), sorted by variable and subject so that
     row-group statistics skip both "one variable" and "one subject" reads.
 
-    Rows are spread over ``files_per_partition`` files by fact, not by subject: a subject
-    with very many facts does not end up in one file. Only the partitions present in
-    ``facts`` are replaced.
+    The rebalance hint lets AQE size the files (``advisoryPartitionSizeInBytes``): a domain
+    or study holding most of the data is split over many tasks and files, small ones share
+    a task. Only the partitions present in ``facts`` are replaced.
     """
     out = facts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACTS.fields])
-    spread = F.pmod(F.xxhash64("fact_id"), F.lit(files_per_partition))
-    (out.repartition(*PARTITIONS, spread)
+    (out.hint("rebalance", *PARTITIONS)
         .sortWithinPartitions(*PARTITIONS, "standard_var", "subject_key")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS).parquet(path))

@@ -156,6 +156,26 @@ def test_positional_findings_replace_scalar_ones(spark):
     assert rows(etl.process_record_export("STUDY_C", d, without), "standard_var") == [("PEYN",)]
 
 
+def test_three_studies_load_cleanly(spark, sf_dir):
+    """Every unpivoted row becomes a fact of a known subject, and no identifier repeats."""
+    raw = spark_dictionary(spark)
+    parts = {
+        "STUDY_A": etl.process_forms("STUDY_A", raw, {"AE": spark_form(spark, sf_dir, "a_ae")}),
+        "STUDY_B": etl.process_forms("STUDY_B", raw, {"MH": spark_form(spark, sf_dir, "b_mh")}),
+        "STUDY_C": etl.process_record_export("STUDY_C", raw, spark_form(spark, sf_dir, "c_main"))}
+    loaded = etl.load_checkpoints(parts)
+    people = loaded.resolution.subjects
+    assert loaded.facts.count() == sum(p.count() for p in parts.values())
+    assert loaded.resolution.rejected.count() == 0
+    assert checks.check_subject_ids(people).count() == 0
+    assert checks.check_fk(loaded.facts, people).count() == 0
+    assert checks.check_unique(loaded.facts, ["domain", "fact_id"]).count() == 0
+    n_records = spark_form(spark, sf_dir, "c_main").select("record_id").distinct().count()
+    assert people.where("source_study = 'STUDY_C'").count() == n_records
+    again = etl.load_checkpoints(parts, existing=people)
+    assert again.resolution.subjects.count() == people.count()
+
+
 def test_manual_form(spark, sf_dir):
     wide = spark_form(spark, sf_dir, "linkage")
     assert etl.unmapped_manual_columns(wide) == ["reviewer"]

@@ -38,12 +38,27 @@ def test_markdown_is_found_below(spark, tmp_path):
 def test_store_round_trip_and_partition_overwrite(spark, tmp_path):
     path = str(tmp_path / "facts")
     first = facts(spark, *event("ae", 1, 1, "2", AETERM="x"), *event("lb", 1, 1, None, LBTEST="y"))
-    write_facts(first, path, files_per_partition=3)
+    write_facts(first, path)
     assert rows(read_facts(spark, path)) == rows(first)
     write_facts(facts(spark, *event("ae", 2, 1, AETERM="z")), path)
     assert rows(read_facts(spark, path), "domain", "value") == [("ae", "z"), ("lb", "y")]
 
 
+def test_large_domain_is_split_over_files(spark, tmp_path):
+    path = tmp_path / "facts"
+    many = spark.range(0, 60000, numPartitions=6).selectExpr(
+        "'ae' AS domain", "id AS fact_id", "7L AS subject_key", "'STUDY_A' AS source_study",
+        "'AETERM' AS standard_var", "'Term' AS standard_label", "uuid() AS value",
+        "CAST(NULL AS STRING) AS value_code", "1 AS seqnum", "CAST(1 AS DECIMAL(10,2)) AS visitnum")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_facts(many, str(path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((path / "domain=ae" / "source_study=STUDY_A").glob("*.parquet"))) >= 4
+    assert read_facts(spark, str(path)).count() == 60000
+
+
 def test_domain_checkpoint(spark, tmp_path):
     path = str(tmp_path / "audit")
     write_domains(facts(spark, *event("ae", 1, 1, AETERM="x")).drop("fact_id"), path)
