@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.operators.sequence import row_block, sequence_within
 
+# The functions below travel to the executors, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK_SIZE, CHUNK_OVERLAP = 1000, 150
 
 # Places to cut, best first (paragraph, line, blank, anywhere).

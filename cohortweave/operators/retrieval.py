@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortweave.functions.text import ordered_list
 
+# The functions below travel to the executors, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOP_K, THRESHOLD = 3, 0.5
 QUESTION_BLOCK = 2048
 

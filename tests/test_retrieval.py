@@ -139,3 +139,19 @@ def test_context_prompt_and_replay(spark):
     turns = spark.createDataFrame([(1, 2, "assistant", "c"), (1, 0, "system", "a"), (1, 1, "user", "b")],
                                   "conv_id long, turn long, role string, text string")
     assert [r.text for r in retrieval.replay(turns).collect()] == ["b", "c"]
+
+
+def test_task_functions_need_no_installed_package(tmp_path):
+    """Executors get the code with the task, not from their own library folder."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    path = tmp_path / "split.pkl"
+    path.write_bytes(cloudpickle.dumps(chunking.split_text))
+    load = "import pickle, sys; print(list(pickle.load(open(sys.argv[1], 'rb'))('ab cd', 3, 1)))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", load, str(path)], cwd="/", env=env, capture_output=True, text=True)
+    assert done.stdout.strip() == str(list(chunking.split_text("ab cd", 3, 1)))
