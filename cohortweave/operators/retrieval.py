@@ -47,6 +47,12 @@ def _unit_rows(vectors: list) -> np.ndarray:
         return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _ids(values) -> np.ndarray:
+    """Numbers stay numbers; texts become fixed-width texts, which sort and compare fast."""
+    ids = np.asarray(values)
+    return ids.astype(str) if ids.dtype == object else ids
+
+
 def best_of_batch(question_ids: np.ndarray, questions: np.ndarray, ids: np.ndarray,
                   vectors: np.ndarray, k: int, threshold: float, skip_same_id: bool) -> pd.DataFrame:
     """The ``k`` best vectors of one batch per question (score, then id), not below
@@ -74,13 +80,15 @@ def topk(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, threshold: floa
     """Exact thresholded cosine top-k: (query_id, vec_id, score, rank).
 
     ``queries(query_id, embedding)`` are questions, few next to ``vectors(vec_id,
-    embedding)``. They are shipped to the tasks in blocks of bounded size, however many
+    embedding)``; ids are numbers or texts. They are shipped to the tasks in blocks of bounded size, however many
     there are; each block is one pass of matrix products over the vectors, which are
     neither shuffled nor paired row by row. A task returns at most ``k`` rows per question
     and Arrow batch, and the rank filter cuts those to ``k`` per task before the shuffle.
     """
     blocks = max(1, math.ceil(2 * queries.count() / QUESTION_BLOCK)) if k > 0 else 1
-    schema = "query_id long, vec_id long, score double"
+    kind = {name: df.schema[name].dataType.simpleString()
+            for df, name in ((queries, "query_id"), (vectors, "vec_id"))}
+    schema = f"query_id {kind['query_id']}, vec_id {kind['vec_id']}, score double"
     hits = None
     for block in range(blocks):
         here = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block) if blocks > 1 else queries
@@ -88,17 +96,17 @@ def topk(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, threshold: floa
         if not rows:
             continue
         shipped = queries.sparkSession.sparkContext.broadcast(
-            (np.array([r.query_id for r in rows]), _unit_rows([r.embedding for r in rows])))
+            (_ids([r.query_id for r in rows]), _unit_rows([r.embedding for r in rows])))
 
         def search(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
             question_ids, questions = shipped.value
             for batch in batches:
                 if len(batch):
                     yield best_of_batch(
-                        question_ids, questions, batch["vec_id"].to_numpy(),
+                        question_ids, questions, _ids(batch["vec_id"]),
                         _unit_rows(batch["embedding"].tolist()), k, threshold, skip_same_id)
 
-        part = vectors.select(F.col("vec_id").cast("long"), "embedding").mapInPandas(search, schema)
+        part = vectors.select("vec_id", "embedding").mapInPandas(search, schema)
         hits = part if hits is None else hits.unionByName(part)
     if hits is None:
         hits = queries.sparkSession.createDataFrame([], schema)

@@ -93,8 +93,11 @@ def _labelled_moments(facts: DataFrame, studies: list[str]) -> DataFrame:
 def vital_trends(subjects: DataFrame | None, facts: DataFrame, *, study: str | None = None) -> DataFrame:
     """Per study, visit, test and unit: measurements, subjects, mean and spread.
 
-    Only unsigned plain decimals count. ``study=None`` means all three.
+    Only unsigned plain decimals count. ``study=None`` means all three; an unknown study
+    has no rows.
     """
+    if study is not None and study not in STUDIES:
+        return vital_trends(subjects, facts.where(F.lit(False)))
     keys = ["source_study", "visitnum", "test_display", "unit"]
     parts = []
     if study in (None, STUDY_A):
@@ -106,8 +109,6 @@ def vital_trends(subjects: DataFrame | None, facts: DataFrame, *, study: str | N
     labelled = [s for s in (STUDY_B, STUDY_C) if study in (None, s)]
     if labelled:
         parts.append(_labelled_moments(facts, labelled))
-    if not parts:
-        raise ValueError(f"unknown study: {study}; expected one of {STUDIES}")
 
     moments = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     per_subject = moments.groupBy(*keys, "subject_key").agg(

@@ -121,8 +121,13 @@ def test_eligibility_labels(spark):
                 "criterion_met") == sorted([
         ("INCLUSION", None, "Yes", True), ("INCLUSION", "", "No", False), ("INCLUSION", "x <y> z", None, None),
         ("EXCLUSION", "fever", "No", True), ("INCLUSION", "fever", "No", False)], key=repr)
-    with pytest.raises(ValueError):
-        enrollment.eligibility(people, df, study="STUDY_X")
+
+
+def test_unknown_study_is_empty(spark):
+    people = subjects(spark, dict(subject_key=1, subjid="A1"))
+    df = facts(spark, *event("ie", 1, 1, IEORRES="Y"), _reading("STUDY_C", 1, "1", "Weight (kg)", "50"))
+    assert enrollment.eligibility(people, df, study="STUDY_X").count() == 0
+    assert vitals.vital_trends(people, df, study="STUDY_X").count() == 0
 
 
 def test_eligibility_order(spark):

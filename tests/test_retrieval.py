@@ -85,6 +85,26 @@ def test_corpus_wide_ids(spark):
         ("id1", 0, "abcd"), ("id2", 0, "defg"), ("id3", 0, "ghij"), ("id4", 2, "klm")]
 
 
+def test_corpus_wide_ids_of_named_documents(spark):
+    texts = spark.createDataFrame([(f"doc{i}.md", "x" * n) for i, n in enumerate((3, 9, 0, 5))], "doc_id string, text string")
+    got = chunking.with_chunk_id(chunking.chunk(texts, 4, 0, by_separator=False)).collect()
+    assert sorted(r.chunk_id for r in got) == [f"id{i}" for i in range(1, 7)]
+    numbers = {}
+    for r in got:
+        numbers.setdefault(r.doc_id, []).append((r.chunk_no, int(r.chunk_id[2:])))
+    for of_doc in numbers.values():  # consecutive within a document
+        first = min(of_doc)[1]
+        assert sorted(of_doc) == [(i, first + i) for i in range(len(of_doc))]
+
+
+def test_topk_with_named_vectors(spark):
+    stored = spark.createDataFrame([("id2", [1.0, 0.0]), ("id1", [2.0, 0.0]), ("id3", [0.0, 1.0])],
+                                   "vec_id string, embedding array<float>")
+    asked = spark.createDataFrame([("id1", [1.0, 0.0])], "query_id string, embedding array<float>")
+    assert rows(retrieval.topk(asked, stored, 1)) == [("id1", "id1", 1.0, 1)]
+    assert rows(retrieval.topk(asked, stored, 1, skip_same_id=True)) == [("id1", "id2", 1.0, 1)]
+
+
 def vectors(spark, data, key):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in data], f"{key} long, embedding array<float>")
 
