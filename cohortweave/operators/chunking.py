@@ -23,16 +23,25 @@ CHUNK_SIZE, CHUNK_OVERLAP = 1000, 150
 SEPARATORS = ("\n\n", "\n", " ", "")
 
 
-def fixed_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
-    """Chunks of ``size`` characters, each starting ``size - overlap`` after the last;
-    the final one ends with the text. Empty text has none."""
-    if not 0 <= overlap < size:
-        raise ValueError("overlap must be smaller than the chunk size")
+def fixed_chunks(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
+    """Chunks of ``size`` characters, each starting ``size - overlap`` after the last; the
+    final one ends with the text. Empty text has none.
+
+    The text is cut once into pieces as long as a step, and a chunk is a piece with the
+    beginning of what follows, so the work is linear in the text.
+    """
     step = size - overlap
-    last = F.greatest(F.ceil((F.length(text) - F.lit(overlap)) / F.lit(step)), F.lit(1)) - 1
-    starts = F.sequence(F.lit(0), last.cast("int"))
-    chunks = F.transform(starts, lambda i: F.substring(text, i * step + 1, F.lit(size)))
-    return F.when(F.length(text) > 0, chunks).otherwise(F.array().cast("array<string>"))
+    per_chunk = -(-size // step)  # pieces a chunk reaches into
+    cut = documents.select(
+        "doc_id", F.length("text").alias("length"),
+        F.regexp_extract_all("text", F.lit(f"(?s).{{1,{step}}}"), F.lit(0)).alias("pieces"))
+    following = [
+        F.slice("pieces", F.lit(i + 1), F.greatest(F.size("pieces") - i, F.lit(0))) for i in range(per_chunk)]
+    joined = F.transform(F.arrays_zip(*[f.alias(f"p{i}") for i, f in enumerate(following)]), lambda z: F.left(
+        F.concat(*[F.coalesce(z[f"p{i}"], F.lit("")) for i in range(per_chunk)]), F.lit(size)))
+    count = F.greatest(F.ceil((F.col("length") - overlap) / F.lit(step)), F.lit(1)).cast("int")
+    return cut.select("doc_id", F.when(F.col("length") > 0, F.slice(joined, F.lit(1), count)).otherwise(
+        F.array().cast("array<string>")).alias("chunks"))
 
 
 def _cut(text: str, separator: str) -> list[str]:
@@ -82,9 +91,6 @@ def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 def separator_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """Separator-aware chunks of whole texts, blank edges trimmed and blank chunks left
     out. The recursion over separators has no built-in form, hence an Arrow batch UDF."""
-    if not 0 <= overlap < size:
-        raise ValueError("overlap must be smaller than the chunk size")
-
     @F.pandas_udf("array<string>")
     def split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: [] if t is None else [
@@ -96,8 +102,11 @@ def separator_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_
 def chunk(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
           by_separator: bool = True) -> DataFrame:
     """``doc_id``, and all chunks of the document as one array."""
-    split = separator_chunks if by_separator else fixed_chunks
-    return documents.select("doc_id", split(F.col("text"), size, overlap).alias("chunks"))
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be smaller than the chunk size")
+    if not by_separator:
+        return fixed_chunks(documents, size, overlap)
+    return documents.select("doc_id", separator_chunks(F.col("text"), size, overlap).alias("chunks"))
 
 
 def explode_chunks(packed: DataFrame) -> DataFrame:

@@ -15,17 +15,18 @@ def docs(spark, *texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
 
 
-def test_fixed_chunks(spark):
-    texts = ["", None, "abc", "a" * 10, "abcdefghijklm", "é" * 25]
-    out = chunking.explode_chunks(chunking.chunk(docs(spark, *texts), 10, 3, by_separator=False))
+@pytest.mark.parametrize("size,overlap", [(10, 3), (10, 0), (10, 5), (10, 8), (1, 0)])
+def test_fixed_chunks(spark, size, overlap):
+    texts = ["", None, "abc", "a" * 10, "abcdefghijklm", "é" * 25, "line\nbreak\r\n" * 3, "𝄞x" * 12]
+    out = chunking.explode_chunks(chunking.chunk(docs(spark, *texts), size, overlap, by_separator=False))
     want = []
     for i, text in enumerate(texts):
         start = 0
         while text:
-            want.append((i, text[start:start + 10]))
-            if start + 10 >= len(text):
+            want.append((i, text[start:start + size]))
+            if start + size >= len(text):
                 break
-            start += 7
+            start += size - overlap
     assert rows(out, "doc_id", "text") == want
 
 
