@@ -70,37 +70,53 @@ RULES = (
 )
 
 
-def repeated_words(w: Column) -> Column:
-    """The words in windows of three found twice or more: windows hashed (64 bits) with their
-    places and sorted, neighbours with one hash picked, and the places' union summed."""
-    windows = F.when(F.size(w) < 3, F.array().cast("array<struct<h:bigint,i:int>>")).otherwise(F.sort_array(F.transform(
-        F.sequence(F.lit(0), F.size(w) - 3),
-        lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))))
+#: Up to so many different repeated windows are looked up one by one; more are found by sorting windows with their places.
+FEW = 64
 
-    def again(s: Column) -> Column:
-        return F.filter(s, lambda x, i: F.coalesce(F.get(s, i - 1)["h"] == x["h"], F.lit(False))
-                        | F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False)))
 
+def covered(places: Column) -> Column:
+    """The size of the union of three words from each of the ascending ``places`` on."""
     return F.aggregate(
-        F.sort_array(F.transform(let(windows, again), lambda x: x["i"])),
-        F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")),
+        places, F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")),
         lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")), lambda a: a["n"])
 
 
+def repeated_words(w: Column) -> Column:
+    """The words in windows of three found twice or more. Windows are hashed (64 bits) and sorted; a hash equal
+    to its neighbour is a repeated one; the places of these are picked and their union summed."""
+    steps = F.sequence(F.lit(0), F.size(w) - 3)
+    hashes = F.transform(steps, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+
+    def sorted_places(h: Column) -> Column:
+        def again(s: Column) -> Column:
+            return F.filter(s, lambda x, i: F.coalesce(F.get(s, i - 1)["h"] == x["h"], F.lit(False))
+                            | F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False)))
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.sort_array(F.transform(let(pairs, again), lambda x: x["i"]))
+
+    def count(h: Column) -> Column:
+        repeated = let(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, i: x == F.get(s, i + 1))))
+        return let(repeated, lambda r: F.when(F.size(r) == 0, F.lit(0).cast("long")).otherwise(covered(
+            F.when(F.size(r) <= FEW, F.filter(steps, lambda i: F.array_contains(r, F.get(h, i))))
+            .otherwise(sorted_places(h)))))
+
+    return F.when(F.size(w) < 3, F.lit(0).cast("long")).otherwise(let(hashes, count))
+
+
 def measures(text: Column) -> Column:
     """A struct of what is counted in a text that is not null."""
     trimmed = F.btrim(text, F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
 
-    def without(chars: str) -> Column:
-        return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
+    def number_of(chars: str) -> Column:
+        return F.regexp_count(text, F.lit(f"[{chars}]")).cast("long")
 
     return let(words, lambda w: let(lines, lambda ls: F.struct(
         F.size(w).cast("long").alias("n_words"),
-        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-        without(SYMBOLS).alias("n_symbols"),
-        without("!").alias("n_shouts"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        number_of(SYMBOLS).alias("n_symbols"),
+        number_of("!").alias("n_shouts"),
         F.size(ls).cast("long").alias("n_lines"),
         (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
         repeated_words(w).alias("n_repeat_words"),
