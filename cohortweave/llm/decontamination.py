@@ -10,6 +10,7 @@ so its size is bounded whatever the benchmark's; each block is one scan of the t
 from __future__ import annotations
 
 import hashlib
+import re
 import sys
 from collections.abc import Iterator
 
@@ -136,6 +137,23 @@ def merged(spans: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def without_hits(text: bytes, windows: WindowSet) -> bytes:
+    """``text`` without the words of hit windows and what stands between them."""
+    words = normal_words(text)
+    spans = [x for p, n, _ in windows.hits(words, names(words)) for x in (p, p + n)]
+    if not spans:
+        return text
+    places = [m.span() for m in WORD.finditer(text.lower())]
+    out, at = [], 0
+    for a, b in merged(spans):
+        out.append(text[at:places[a][0]])
+        at = places[b - 1][1]
+    return b"".join(out) + text[at:]
+
+
 SCANNED_DDL = "doc_id long, row long, n_words long, spans array<long>, items array<string>"
 
 CONCLUDED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
