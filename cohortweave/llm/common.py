@@ -40,6 +40,16 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Like ``staged``, in buckets of ``keys``, as many as there are shuffle partitions: a later join on
+    the keys reads the table without moving it. Rows should already lie by the keys."""
+    spark = df.sparkSession
+    name = f"llm_{uuid.uuid4().hex}"
+    (df.write.option("compression", "zstd").option("path", f"{shared_folder(spark)}/{name}")
+       .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).saveAsTable(name))
+    return spark.table(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -35,7 +35,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm.common import binary, mix, record_batch, slices, staged, table
+from cohortweave.llm.common import binary, mix, record_batch, slices, staged_by, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -421,9 +421,9 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
                 .groupBy("doc", "tag")
                 .agg(F.collect_list(F.when(~F.col("verify"), F.col("ref"))).alias("repeats"),
                      F.collect_list(F.when(F.col("verify"), F.col("ref"))).alias("verify")))
-    opened = staged(keyed.join(per_text, ["doc", "tag"], "left")
-                    .select("doc_id", "doc", "tag", "text", "repeats", "verify")
-                    .mapInArrow(open_documents(keep_text), ddl(OPENED)))
+    opened = staged_by(keyed.join(per_text, ["doc", "tag"], "left")
+                       .select("doc_id", "doc", "tag", "text", "repeats", "verify")
+                       .mapInArrow(open_documents(keep_text), ddl(OPENED)), "doc", "tag")
     done = opened.filter(F.col("windows").isNull()).select(*CLOSED.names)
     waiting = opened.filter(F.col("windows").isNotNull())
     asked = waiting.select("doc", "tag", F.explode("windows").alias("w")).select("doc", "tag", "w.high", "w.low", "w.at")
