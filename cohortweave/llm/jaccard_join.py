@@ -231,7 +231,7 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
              .agg(F.greatest(F.ceil(F.count("*") / BLOCK_CONTENTS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks")))
     texts = keyed.select(F.col("doc_id").alias("id"), F.col("row").alias("own"), "text").filter(F.col("text").isNotNull())
     wanted = hubs.select("node", "copies", "hubs", "doc_id", "row")
-    sets = (texts.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("row")))
+    sets = (texts.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("row")))
             .select("text", "node", "copies", "hubs").mapInArrow(full_sets, MEMBERS_DDL))
     sets = staged(sets)
     dealt = (sets.withColumn("hub", F.explode("hubs")).join(sizes, "hub")
