@@ -16,7 +16,9 @@ import math
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,13 @@ def parts(chunk: str) -> tuple[str, ...]:
     return (chunk,)
 
 
+def little_endian(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordIds(dict):
     """Ids (little-endian 32-bit) by chunk. The vocabulary drops white space and joins nothing across it,
     nor across a letter and a following sign, so chunks are encoded one by one and remembered."""
@@ -68,10 +77,10 @@ class WordIds(dict):
     def learn(self, chunks: list[list[str]]) -> None:
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = {c: parts(c) for own in chunks for c in own if c not in self}
+        new = {c: parts(c) for c in set(chain.from_iterable(chunks)).difference(self)}
         pieces = list({p for ps in new.values() for p in ps if p not in self})
         for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self[p] = np.array(e.ids, dtype="<u4").tobytes()
+            self[p] = little_endian(e.ids)
         for c, ps in new.items():
             self[c] = b"".join([self[p] for p in ps])
 
@@ -96,7 +105,7 @@ PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens l
 
 def cut(path: str, capacity: int = CAPACITY):
     """Texts to pieces: full sequences and a rest."""
-    end = np.array([END_ID], dtype="<u4").tobytes()
+    end = little_endian([END_ID])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
