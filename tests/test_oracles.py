@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from fixtures import registry
 from tools.compare import compare, connect
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,7 @@ def test_query_equals_oracle(spark, duck, sf_dir, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
     assert set(QUERIES) - set(ORACLES) == {"r_chunk_separator"}
 
 
