@@ -33,11 +33,14 @@ REPLAYED_ROLES = ("user", "assistant")
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
     """Rows of ``existing`` with those of ``incoming`` added or replaced by ``key``; of
-    several incoming rows the one with the greatest ``order`` wins. The winner is found
+    several incoming rows the one with the greatest ``order`` wins (null: the least; ties: the
+    greatest values). Incoming rows without a key are left out. The winner is found
     by aggregation, so a key sent very often is reduced before it is shuffled."""
     columns = existing.columns
-    latest = incoming.groupBy(key).agg(
-        F.max_by(F.struct(*columns), order).alias("_row")).select("_row.*")
+    values = F.struct(*[F.col(c) for c in columns if c != key])
+    rank = F.struct(F.col(order).isNotNull(), F.col(order), values)  # a null order comes last, ties go by the values
+    latest = (incoming.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(values, rank).alias("_row"))
+              .select(key, "_row.*").select(*columns))
     return existing.join(latest.select(key), key, "left_anti").select(*columns).unionByName(latest)
 
 
@@ -57,10 +60,11 @@ def best_of_batch(question_ids: np.ndarray, questions: np.ndarray, ids: np.ndarr
                   vectors: np.ndarray, k: int, threshold: float, skip_same_id: bool) -> pd.DataFrame:
     """The ``k`` best vectors of one batch per question (score, then id), not below
     ``threshold``. Both inputs have unit rows; a zero vector scores NaN and never passes."""
-    scores = np.round(vectors @ questions.T, 6)
+    raw = vectors @ questions.T
+    scores = np.where(raw >= threshold, np.round(raw, 6), np.nan)
     if skip_same_id:
         scores[ids[:, None] == question_ids[None, :]] = np.nan
-    floor = np.full(scores.shape[1], threshold)
+    floor = np.full(scores.shape[1], -2.0)
     if len(ids) > k:
         kth = np.partition(np.nan_to_num(scores, nan=-2.0), len(ids) - k, axis=0)[len(ids) - k]
         floor = np.maximum(floor, kth)
@@ -84,7 +88,14 @@ def topk(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, threshold: floa
     there are; each block is one pass of matrix products over the vectors, which are
     neither shuffled nor paired row by row. A task returns at most ``k`` rows per question
     and Arrow batch, and the rank filter cuts those to ``k`` per task before the shuffle.
+    Scores meet the threshold as they are and are ranked rounded to six places. Rows without a vector are left
+    out, and so are vectors of another size than the questions', which must be of one size.
     """
+    queries = queries.where(F.col("embedding").isNotNull())
+    sizes = [r[0] for r in queries.select(F.size("embedding")).distinct().limit(2).collect()]
+    if len(sizes) > 1:
+        raise ValueError("questions of different sizes")
+    vectors = vectors.where(F.size("embedding") == (sizes[0] if sizes else 0))
     blocks = max(1, math.ceil(2 * queries.count() / QUESTION_BLOCK)) if k > 0 else 1
     kind = {name: df.schema[name].dataType.simpleString()
             for df, name in ((queries, "query_id"), (vectors, "vec_id"))}

@@ -46,12 +46,11 @@ FROM (SELECT doc_id, text, unnest(range(greatest(CAST(ceil((length(text) - 150)
 
 _HITS = f"""
 SELECT query_id, vec_id, score, rank FROM (
-  SELECT q.vec_id AS query_id, v.vec_id, s.score,
-         CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY s.score DESC, v.vec_id) AS INTEGER) AS rank
+  SELECT q.vec_id AS query_id, v.vec_id, round(s.raw, 6) AS score,
+         CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY round(s.raw, 6) DESC, v.vec_id) AS INTEGER) AS rank
   FROM embeddings q JOIN embeddings v ON v.vec_id <> q.vec_id,
-       LATERAL (SELECT round(list_cosine_similarity(
-           CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) AS score) s
-  WHERE q.vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label) AND s.score >= {CUT})
+       LATERAL (SELECT list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])) AS raw) s
+  WHERE q.vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label) AND s.raw >= {CUT})
 WHERE rank <= {K}"""
 
 _CONTEXT = f"""

@@ -176,3 +176,17 @@ def test_task_functions_need_no_installed_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", load, str(path)], cwd="/", env=env, capture_output=True, text=True)
     assert done.stdout.strip() == str(list(chunking.split_text("ab cd", 3, 1)))
+
+
+def test_upsert_keeps_ids_whose_order_is_null(spark):
+    existing = spark.createDataFrame([(1, 10)], "id long, v long")
+    incoming = spark.createDataFrame([(2, 20, None), (1, 11, None), (1, 12, 3), (3, 5, 1), (3, 6, 1), (None, 7, 9)],
+                                     "id long, v long, o long")
+    assert sorted(map(tuple, retrieval.upsert(existing, incoming, "id", "o").collect())) == [(1, 12), (2, 20), (3, 6)]
+
+
+def test_threshold_meets_raw_scores_and_odd_vectors_are_left_out(spark):
+    questions = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "query_id long, embedding array<double>")
+    near = [0.4999997, (1 - 0.4999997 ** 2) ** 0.5]
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, near), (3, None), (4, [1.0])], "vec_id long, embedding array<double>")
+    assert [(r.query_id, r.vec_id) for r in retrieval.topk(questions, vectors, 5, 0.5).collect()] == [(1, 1)]
