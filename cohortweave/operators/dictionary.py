@@ -85,11 +85,11 @@ def study_dictionary(raw: DataFrame, study: str) -> DataFrame:
     return mapping
 
 
-def entries(mapping: DataFrame) -> list[Entry]:
-    """The dictionary on the driver, in file order."""
-    rows = mapping.select(*COLUMNS).orderBy("dict_row").limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError(f"a dictionary of more than {MAX_ENTRIES} rows is not a dictionary")
+def entries(mapping: DataFrame, most: int = MAX_ENTRIES) -> list[Entry]:
+    """The dictionary on the driver, in file order; one of more than ``most`` rows is refused."""
+    rows = mapping.select(*COLUMNS).orderBy("dict_row").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a dictionary of more than {most} rows is not a dictionary")
     return [Entry(i, r.domain, r.standard_var, r.standard_label, r.source_form, r.source_var)
             for i, r in enumerate(rows)]
 

@@ -47,7 +47,7 @@ def ae_by_subject(subjects: DataFrame, facts: DataFrame, *, study: str) -> DataF
 
 def ae_severity(subjects: DataFrame | None, facts: DataFrame, *, study: str) -> DataFrame:
     graded = domain(facts, "ae", study, ["AESEV"])
-    refers = domain(facts, "ae", variables=["AEREFID"]).select(*EVENT)
+    refers = domain(facts, "ae", study, ["AEREFID"]).select(*EVENT)
     return graded.join(refers, EVENT, "left_anti").groupBy("value").agg(
         F.count_distinct("subject_key").alias("num_subjects"))
 
