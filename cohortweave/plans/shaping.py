@@ -65,27 +65,16 @@ def pe_by_visit(findings: DataFrame, study: str | None = None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ medical history
-def _on_question(counts: DataFrame, per_question: DataFrame) -> DataFrame:
-    c, q = counts.alias("c"), per_question.alias("q")
-    same = (F.col("c.source_study") == F.col("q.source_study")) & F.col("c.question").eqNullSafe(F.col("q.question"))
-    added = [f"q.{name}" for name in per_question.columns if name not in ("source_study", "question")]
-    return c.join(q, same).select("c.*", *added)
-
-
 def question_ids(counts: DataFrame) -> DataFrame:
     """``Q1``, ``Q2``, ... per study in question order (the input has one row per study,
     question and response)."""
-    # Questions come from the dictionary, responses may be free text: rank the former only.
-    place = F.row_number().over(
-        Window.partitionBy("source_study").orderBy(F.asc_nulls_last("question")))
-    ids = counts.select("source_study", "question").distinct().withColumn(
-        "qid", F.concat(F.lit("Q"), place))
-    return _on_question(counts, ids)
+    place = F.dense_rank().over(Window.partitionBy("source_study").orderBy(F.asc_nulls_last("question")))
+    return counts.withColumn("qid", F.concat(F.lit("Q"), place))
 
 
 def response_share(counts: DataFrame) -> DataFrame:
-    whole = counts.groupBy("source_study", "question").agg(F.sum("n").alias("_whole"))
-    return _on_question(counts, whole).withColumn("pct", share(F.col("n"), F.col("_whole"))).drop("_whole")
+    whole = F.sum("n").over(Window.partitionBy("source_study", "question"))
+    return counts.withColumn("_whole", whole).withColumn("pct", share(F.col("n"), F.col("_whole"))).drop("_whole")
 
 
 def onset_dated(onset: DataFrame) -> DataFrame:
@@ -145,12 +134,11 @@ def vital_headline(trends: DataFrame) -> DataFrame:
 
 def vital_series(trends: DataFrame) -> DataFrame:
     """Points per test with the axis label, the test's first unit by visit in brackets."""
-    first_unit = trends.where(F.col("unit").isNotNull()).groupBy("source_study", "test_display").agg(
-        F.min_by("unit", F.struct(F.col("visitnum").isNull(), "visitnum", "unit")).alias("_unit"))
+    first = F.min(F.when(F.col("unit").isNotNull(), F.struct(F.col("visitnum").isNull(), "visitnum", "unit")))
+    unit = first.over(Window.partitionBy("source_study", "test_display"))["unit"]
     label = F.concat(F.lit("Average "), F.col("test_display"),
                      F.coalesce(F.concat(F.lit(" ("), F.col("_unit"), F.lit(")")), F.lit("")))
-    return trends.join(first_unit, ["source_study", "test_display"], "left").withColumn(
-        "axis_label", label).drop("_unit").orderBy(
+    return trends.withColumn("_unit", unit).withColumn("axis_label", label).drop("_unit").orderBy(
         "source_study", "test_display", F.asc_nulls_last("visitnum"))
 
 
