@@ -26,17 +26,18 @@ SIGHTING = ["source_study", "seen"]
 class Resolution(NamedTuple):
     subjects: DataFrame   # every participant, earlier ones included
     assigned: DataFrame   # source_study and identifiers -> subject_key
-    rejected: DataFrame   # sightings without any identifier
+    rejected: DataFrame   # sightings without any identifier, and how many rows each stands for
 
 
 def distinct_sightings(rows: DataFrame, seen: str) -> DataFrame:
-    """One row per identifier combination: its first appearance and that row's studyid."""
+    """One row per identifier combination: its first appearance, that row's studyid, and its rows."""
     clean = rows.select(
         "source_study", F.col("studyid").cast("string").alias("studyid"),
         *[blank_to_null(F.col(c).cast("string")).alias(c) for c in IDS],
         F.col(seen).cast("bigint").alias("seen"))
     return clean.groupBy("source_study", *IDS).agg(
-        F.min_by("studyid", "seen").alias("studyid"), F.min("seen").alias("seen"))
+        F.min_by("studyid", "seen").alias("studyid"), F.min("seen").alias("seen"),
+        F.count("*").alias("n_rows"))
 
 
 def _held_ids(df: DataFrame, *columns: str) -> DataFrame:

@@ -46,10 +46,20 @@ def positional_measurements(facts: DataFrame) -> DataFrame:
     ).where(F.col("test_name").isNotNull() & F.col("result").isNotNull()).drop("position")
 
 
+SUMS = ("n", "total", "squares", "wide_total", "wide_squares")
+
+
 def _moments(rows: DataFrame) -> list[Column]:
-    """Count and exact decimal sums, which merge without loss and can be weighted."""
-    x = F.expr("try_cast(trim(result) AS decimal(18,6))")
-    return [F.count("*").alias("n"), F.sum(x).alias("total"), F.sum(x * x).alias("squares")]
+    """Count and sums, which merge and can be weighted: exact decimals for readings of up to
+    nine digits before and six after the point, doubles beside them for all others."""
+    exact = F.col("result").rlike(r"\A\s*[0-9]{1,9}(\.[0-9]{1,6})?\s*\z")
+    x = F.when(exact, F.expr("try_cast(trim(result) AS decimal(15,6))"))
+    wide = F.when(~exact, F.expr("try_cast(trim(result) AS double)"))
+    none, nothing = F.lit(0).cast("decimal(15,6)"), F.lit(0.0)
+    return [F.count("*").alias("n"),
+            F.coalesce(F.sum(x), none).alias("total"), F.coalesce(F.sum(x * x), none).alias("squares"),
+            F.coalesce(F.sum(wide), nothing).alias("wide_total"),
+            F.coalesce(F.sum(wide * wide), nothing).alias("wide_squares")]
 
 
 def _labelled_moments(facts: DataFrame, studies: list[str]) -> DataFrame:
@@ -85,9 +95,7 @@ def _labelled_moments(facts: DataFrame, studies: list[str]) -> DataFrame:
         "r.source_study", "r.subject_key", "r.visitnum", "r.test_display",
         F.coalesce(F.col("u.unit_value"),
                    substring_from(F.col("r.standard_label"), r"\(([^)]+)\)")).alias("unit"),
-        (F.col("r.n") * weight).alias("n"),
-        (F.col("r.total") * weight).alias("total"),
-        (F.col("r.squares") * weight).alias("squares"))
+        *[(F.col(f"r.{name}") * weight).alias(name) for name in SUMS])
 
 
 def vital_trends(subjects: DataFrame | None, facts: DataFrame, *, study: str | None = None) -> DataFrame:
@@ -112,18 +120,26 @@ def vital_trends(subjects: DataFrame | None, facts: DataFrame, *, study: str | N
 
     moments = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     per_subject = moments.groupBy(*keys, "subject_key").agg(
-        *[F.sum(c).alias(c) for c in ("n", "total", "squares")])
+        *[F.sum(c).alias(c) for c in SUMS])
     sums = per_subject.groupBy(*keys).agg(
         F.sum("n").cast("bigint").alias("n_measurements"),
         F.count("subject_key").alias("n_subjects"),
-        F.sum("total").alias("total"), F.sum("squares").alias("squares"))
+        *[F.sum(c).alias(c) for c in SUMS[1:]])
 
-    n, total, squares = (F.col(c).cast("double") for c in ("n_measurements", "total", "squares"))
-    mean = F.col("total").cast("decimal(24,6)") / F.col("n_measurements").cast("decimal(14,0)")
+    n, total, squares, wide_total, wide_squares = (
+        F.col(c).cast("double") for c in ("n_measurements", *SUMS[1:]))
+    total, squares = total + wide_total, squares + wide_squares
+    exact_mean = F.col("total").cast("decimal(24,6)") / F.col("n_measurements").cast("decimal(14,0)")
     variance = F.greatest((squares - total * total / n) / (n - 1), F.lit(0.0))
+
+    def shown(value: Column, places: int) -> Column:
+        # a double of 10^15 or more has no decimal places to round
+        return F.when(value < 1e15, rounded(value, places)).otherwise(value)
+
+    mean = F.when(wide_total == 0, rounded(exact_mean, 1)).otherwise(shown(total / n, 1))
     return sums.select(
         "source_study", F.col("visitnum").cast("double").alias("visitnum"), "test_display", "unit",
         "n_measurements", "n_subjects",
-        rounded(mean, 1).alias("avg_value"),
-        F.when(n > 1, rounded(F.sqrt(variance), 2)).alias("sd"),
+        mean.alias("avg_value"),
+        F.when(n > 1, shown(F.sqrt(variance), 2)).alias("sd"),
     ).orderBy("source_study", "test_display", F.asc_nulls_last("visitnum"))

@@ -39,6 +39,9 @@ LINKAGE = T.StructType([
     T.StructField("linkage_type", T.StringType()),
 ])
 
+#: Fact ids of one study lie between two multiples of this.
+ID_SPAN = 1 << 56
+
 # The domains every study collects, and those only STUDY_A collects.
 SHARED_DOMAINS = ("dm", "ds", "sv", "mh", "pe", "vs", "be", "bs", "ie", "cm", "eos", "co")
 STUDY_A_DOMAINS = ("ex", "ae", "lb")

@@ -7,10 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from cohortweave.schema import FACTS
+from cohortweave.schema import FACTS, ID_SPAN
 
 PARTITIONS = ["domain", "source_study"]
+BATCH = "batch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,19 +39,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_facts(facts: DataFrame, path: str) -> None:
-    """Write one directory per (domain, study), sorted by variable and subject so that
-    row-group statistics skip both "one variable" and "one subject" reads.
+def write_facts(facts: DataFrame, path: str, batch: str = "first") -> None:
+    """Add a batch of facts: one directory per (domain, study, batch), sorted by variable and
+    subject so that row-group statistics skip both "one variable" and "one subject" reads.
 
-    The rebalance hint lets AQE size the files (``advisoryPartitionSizeInBytes``): a domain
-    or study holding most of the data is split over many tasks and files, small ones share
-    a task. Only the partitions present in ``facts`` are replaced.
+    Other batches stay as they are; writing a batch again replaces the directories it has rows
+    for, so a load can be repeated. The rebalance hint lets AQE size the files
+    (``advisoryPartitionSizeInBytes``): a domain or study holding most of the data is split
+    over many tasks and files, small ones share a task.
     """
-    out = facts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACTS.fields])
+    out = facts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACTS.fields],
+                       F.lit(batch).alias(BATCH))
     (out.hint("rebalance", *PARTITIONS)
         .sortWithinPartitions(*PARTITIONS, "standard_var", "subject_key")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS).parquet(path))
+        .partitionBy(*PARTITIONS, BATCH).parquet(path))
+
+
+def after_stored(facts: DataFrame, stored: DataFrame) -> DataFrame:
+    """``facts`` with ids that follow the largest stored id of their domain and study, so that
+    a later batch repeats none. ``stored`` is the store without the batch itself
+    (``read_facts(..., without=batch)``)."""
+    def low(column: str):
+        return F.col(column) % F.lit(ID_SPAN)
+
+    last = stored.groupBy(*PARTITIONS).agg(F.max(low("fact_id")).alias("_last"))
+    return facts.join(last, PARTITIONS, "left").withColumn(
+        "fact_id", F.col("fact_id") + F.coalesce("_last", F.lit(0))).drop("_last")
 
 
 def write_domains(rows: DataFrame, path: str) -> None:
@@ -58,5 +74,9 @@ def write_domains(rows: DataFrame, path: str) -> None:
          .partitionBy(*PARTITIONS).parquet(path))
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FACTS).parquet(path).select(*FACTS.fieldNames())
+def read_facts(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """All stored facts, or those of every batch but ``without``."""
+    stored = spark.read.schema(StructType([*FACTS.fields, StructField(BATCH, StringType())])).parquet(path)
+    if without is not None:
+        stored = stored.where(F.col(BATCH) != without)
+    return stored.select(*FACTS.fieldNames())

@@ -63,6 +63,10 @@ def rejected(spark: SparkSession, sf: str) -> DataFrame:
         "source_study", "seen", "studyid", F.lit(True).alias("rejected"))
 
 
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _resolved(spark, sf).rejected.select("source_study", "n_rows")
+
+
 def load_facts(spark: SparkSession, sf: str) -> DataFrame:
     checkpoints = {STUDY_A: cut_lineage(unpivot_a(spark, sf)), STUDY_B: cut_lineage(unpivot_b(spark, sf))}
     loaded = etl.load_checkpoints(checkpoints)
@@ -94,6 +98,7 @@ QUERIES = {
     "l_resolve_subjects": lambda spark, sf: _resolved(spark, sf).subjects,
     "l_assign_subjects": lambda spark, sf: _resolved(spark, sf).assigned,
     "l_rejected_sightings": rejected,
+    "l_rejected_rows": rejected_rows,
     "l_load_facts": load_facts,
     "l_linkage": linkage,
     "l_check_registry": lambda spark, sf: checks.check_registry(

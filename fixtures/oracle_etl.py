@@ -185,6 +185,10 @@ FROM sightings
 WHERE subjid IS NULL AND record_id IS NULL AND nullif(scrno, '') IS NULL
 GROUP BY source_study"""
 
+REJECTED_ROWS = """
+SELECT source_study, count(*) AS n_rows FROM sightings
+WHERE coalesce(subjid, record_id, nullif(scrno, '')) IS NULL GROUP BY source_study"""
+
 LOADED_FACTS = f"""
 WITH a AS ({UNPIVOT_A}), b AS ({UNPIVOT_B}),
 people AS (
@@ -251,6 +255,7 @@ WHERE d.domain NOT IN (SELECT domain FROM ({UNPIVOT_A}))"""),
     "l_resolve_subjects": (("sightings",), (), RESOLVED_SUBJECTS),
     "l_assign_subjects": (("sightings",), (), ASSIGNED),
     "l_rejected_sightings": (("sightings",), (), REJECTED),
+    "l_rejected_rows": (("sightings",), (), REJECTED_ROWS),
     "l_load_facts": (("a_ae", "a_sae", "a_ie", "b_mh", "b_ie", "b_dm"), (), LOADED_FACTS),
     "l_linkage": (("linkage",), ("subjects",), LINKAGE),
     **{name: ((), *spec) for name, spec in CHECKS.items()},

@@ -109,6 +109,16 @@ def test_only_unsigned_plain_decimals(spark, value, counts):
     assert vitals.vital_trends(None, df, study="STUDY_C").count() == int(counts)
 
 
+def test_large_and_fine_readings_keep_their_value(spark):
+    def trend(*values):
+        df = facts(spark, *[_reading("STUDY_C", i, "1", "Weight (kg)", v) for i, v in enumerate(values)])
+        return rows(vitals.vital_trends(None, df), "n_measurements", "avg_value", "sd")
+
+    assert trend("70", "80", "1000000000000") == [(3, 333333333383.3, 577350269146.32)]
+    assert trend("1" + "0" * 40, "3" + "0" * 40) == [(2, 2e40, pytest.approx(1.4142135623730951e40))]
+    assert trend("0.04999999", "0.05000001") == [(2, 0.1, 0.0)]
+
+
 def test_eligibility_labels(spark):
     def asked(label, value):
         return dict(domain="ie", source_study="STUDY_C", subject_key=1, standard_var="IETEST",

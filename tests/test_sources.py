@@ -4,7 +4,7 @@ import pytest
 
 from cohortweave.operators.dictionary import entries, normalise_dictionary
 from cohortweave.sources.forms import read_dictionary, read_forms, read_markdown
-from cohortweave.sources.store import cut_lineage, read_facts, write_domains, write_facts
+from cohortweave.sources.store import after_stored, cut_lineage, read_facts, write_domains, write_facts
 from tests.helpers import event, facts, rows
 
 
@@ -35,13 +35,19 @@ def test_markdown_is_found_below(spark, tmp_path):
     assert rows(read_markdown(spark, str(tmp_path)), "text") == [("# Top\n\nline",), ("deep",)]
 
 
-def test_store_round_trip_and_partition_overwrite(spark, tmp_path):
+def test_store_round_trip_and_batches(spark, tmp_path):
     path = str(tmp_path / "facts")
     first = facts(spark, *event("ae", 1, 1, "2", AETERM="x"), *event("lb", 1, 1, None, LBTEST="y"))
     write_facts(first, path)
     assert rows(read_facts(spark, path)) == rows(first)
-    write_facts(facts(spark, *event("ae", 2, 1, AETERM="z")), path)
-    assert rows(read_facts(spark, path), "domain", "value") == [("ae", "z"), ("lb", "y")]
+    second = facts(spark, *event("ae", 2, 1, AETERM="z"))
+    for _ in range(2):  # a repeated load of one batch changes nothing
+        write_facts(after_stored(second, read_facts(spark, path, without="b2")), path, "b2")
+        stored = read_facts(spark, path)
+        assert rows(stored, "domain", "value") == [("ae", "x"), ("ae", "z"), ("lb", "y")]
+        assert rows(stored.where("domain = 'ae'"), "fact_id") == [(1,), (2,)]
+    write_facts(facts(spark, *event("ae", 1, 1, AETERM="new")), path)
+    assert rows(read_facts(spark, path), "domain", "value") == [("ae", "new"), ("ae", "z"), ("lb", "y")]
 
 
 def test_large_domain_is_split_over_files(spark, tmp_path):
@@ -55,7 +61,7 @@ def test_large_domain_is_split_over_files(spark, tmp_path):
         write_facts(many, str(path))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list((path / "domain=ae" / "source_study=STUDY_A").glob("*.parquet"))) >= 4
+    assert len(list((path / "domain=ae" / "source_study=STUDY_A" / "batch=first").glob("*.parquet"))) >= 4
     assert read_facts(spark, str(path)).count() == 60000
 
 

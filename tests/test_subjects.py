@@ -96,3 +96,5 @@ def test_linkage_pairs(spark):
     eav = spark.createDataFrame([(r, v, x, i) for i, (r, v, x) in enumerate(named)],
                                 "record_id string, source_var string, value string, row_id long")
     assert rows(build_linkage(eav, people)) == [(1, 2, "exact"), (None, None, None), (None, None, None)]
+    stored = build_linkage(eav, people).where("study_a_subject_key = 1")
+    assert rows(build_linkage(eav, people, stored)) == [(None, None, None), (None, None, None)]
