@@ -61,16 +61,21 @@ def binary(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def spans(sizes: Iterable[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of items of about ``limit`` bytes each; a larger item is a range of its own."""
+    start, held, n = 0, 0, 0
+    for n, size in enumerate(sizes, 1):
+        if held and held + size > limit:
+            yield start, n - 1
+            start, held = n - 1, 0
+        held += size + 1
+    if start < n:
+        yield start, n
+
+
 def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of ``texts`` of about ``limit`` bytes each."""
-    at, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > limit:
-            yield at, i
-            at, size = i, 0
-        size += len(text) + 1
-    if at < len(texts):
-        yield at, len(texts)
+    return spans(map(len, texts), limit)
 
 
 def record_batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:

@@ -13,20 +13,20 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 import sys
 import types
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortweave.llm.common import binary, record_batch, staged, table
+from cohortweave.llm.common import record_batch, spans, staged, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,50 +44,69 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: Signs that, after a letter, always begin a new token.
-SIGNS = ".,;:!?#$%*&"
-
-
-def parts(chunk: str) -> tuple[str, ...]:
-    """What a chunk may be encoded as, piece by piece: a word and the signs after it; ASCII in lower case."""
-    stem = chunk.rstrip(SIGNS)
-    if stem and stem[-1].isalpha():
-        word = stem.lower() if stem.isascii() and stem.isalpha() else stem
-        return (word, chunk[len(stem):]) if len(stem) < len(chunk) else (word,)
-    return (chunk,)
-
-
-def little_endian(ids: list[int]) -> bytes:
-    out = array("I", ids)
-    if sys.byteorder == "big":
-        out.byteswap()
-    return out.tobytes()
+#: A boundary that the vocabulary always has: nothing joins a letter and a sign after it.
+LETTER_SIGN = r"(\pL)([.,;:!?#$%*&])"
+#: Letters whose lower case is one letter and which no normal form changes; such words are encoded many at a time.
+PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+WORDS_AT_ONCE = 1000
+#: Texts are split and coded in slices of about so many bytes.
+CODE_BYTES = 8_000_000
 
 
 class WordIds(dict):
     """Ids (little-endian 32-bit) by chunk. The vocabulary drops white space and joins nothing across it,
-    nor across a letter and a following sign, so chunks are encoded one by one and remembered."""
+    nor across a letter and a following sign, so chunks are encoded once each and remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, chunks: list[list[str]]) -> None:
+        vocabulary_ = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary_.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary_.items() if token.endswith("</w>")]] = True
+
+    def encode(self, chunks: list[str]) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in coded]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Remember new chunks. Plain words are encoded as one text a group and told apart by the
+        tokens that end a word; a group without one such token a word is encoded word by word."""
+        plain = [c for c in chunks if PLAIN_WORD.fullmatch(c)]
+        single = [c for c in chunks if not PLAIN_WORD.fullmatch(c)]
+        lower = list({c.lower() for c in plain} - self.keys())
+        groups = [lower[lo:lo + WORDS_AT_ONCE] for lo in range(0, len(lower), WORDS_AT_ONCE)]
+        for group, ids in zip(groups, self.encode([" ".join(g) for g in groups])):
+            stops = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            if len(stops) != len(group):
+                single += group
+                continue
+            coded = ids.tobytes()
+            self.update(zip(group, (coded[a:b] for a, b in zip([0, *stops], stops))))
+        self.update(zip(single, (ids.tobytes() for ids in self.encode(single))))
+        for c in plain:
+            self[c] = self[c.lower()]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``texts`` (large strings without nulls) one after another, and where each text's begin and end."""
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = {c: parts(c) for c in set(chain.from_iterable(chunks)).difference(self)}
-        pieces = list({p for ps in new.values() for p in ps if p not in self})
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self[p] = little_endian(e.ids)
-        for c, ps in new.items():
-            self[c] = b"".join([self[p] for p in ps])
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(chunks)
-        return [b"".join(map(self.__getitem__, own)) for own in chunks]
+        parted = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), LETTER_SIGN, r"\1 \2")
+        lists = pc.split_pattern(parted, " ")
+        chunks = lists.flatten().dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        self.learn([c for c in distinct if c not in self])
+        coded = [self[c] for c in distinct]
+        flat = np.frombuffer(b"".join(coded), "<u4")
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        starts = np.cumsum(sizes) - sizes
+        at = chunks.indices.to_numpy()
+        size = sizes[at]
+        after = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.repeat(starts[at] - after[:-1], size) + np.arange(after[-1])]
+        words = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        return ids, after[words]
 
 
 def word_ids(path: str) -> WordIds:
@@ -105,7 +124,6 @@ PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens l
 
 def cut(path: str, capacity: int = CAPACITY):
     """Texts to pieces: full sequences and a rest."""
-    end = little_endian([END_ID])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -113,16 +131,16 @@ def cut(path: str, capacity: int = CAPACITY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         known = word_ids(path)
         for batch in batches:
-            rows = []
-            ids_, rows_, texts = (c.to_pylist() for c in batch.columns)
-            coded = (x for lo in range(0, len(texts), 200) for x in known.ids([t or "" for t in texts[lo:lo + 200]]))
-            for doc_id, row, ids in zip(ids_, rows_, coded):
-                ids += end
-                total = len(ids) // 4
-                for a in range(0, total, capacity):
-                    piece = ids[4 * a:4 * (a + capacity)]
-                    rows.append((doc_id, a, len(piece) // 4, zlib.crc32(piece), total, row))
-            yield record_batch(PIECES, list(zip(*rows)) if rows else [[]] * len(PIECES))
+            texts = pc.fill_null(batch.column(2).cast(pa.large_string()), "")
+            for lo, hi in spans(pc.binary_length(texts).to_numpy(), CODE_BYTES):
+                ids, bounds = known.ids(texts.slice(lo, hi - lo))
+                rows = []
+                for k, row in enumerate(zip(*(batch.column(c).slice(lo, hi - lo).to_pylist() for c in (0, 1)))):
+                    own = np.append(ids[bounds[k]:bounds[k + 1]], np.array([END_ID], "<u4"))
+                    for a in range(0, len(own), capacity):
+                        piece = own[a:a + capacity]
+                        rows.append((row[0], a, len(piece), zlib.crc32(piece.data), len(own), row[1]))
+                yield record_batch(PIECES, zip(*rows))
 
     return run
 
