@@ -1,14 +1,15 @@
 """Language-model scoring by prediction by partial matching (PPM) over bytes, pretrained on the corpus.
 
 Counting: each task counts its byte runs of ``ORDER + 1`` (A-Z lower-cased, ``ORDER`` start marks before and one
-end mark after each text); Spark sums them and derives the shorter contexts from them. The trie keeps, per order, the
-contexts that occur most often, as many as fit ``ENTRIES`` entries, so what is broadcast has a bound of its own while
-every count is over all training texts.
+end mark after each text); Spark sums them and derives the shorter contexts from them. Every context is kept, as a row
+with the counts of the symbols after it.
 
 Scoring: a byte is coded in the longest context known. A symbol seen there has probability n / (T + D), T its total
 and D its distinct symbols (escape method C); otherwise the escape D / (T + D) is paid and the next shorter context
 is asked, *without* the symbols seen in the longer one (exclusion), at last a uniform choice among the
-bytes never seen. The probabilities of the 256 symbols sum to one in each context.
+bytes never seen. The probabilities of the 256 symbols sum to one in each context. So the probability of a
+byte follows from its run alone: it is found once for each distinct run of all texts, by joins with the contexts. The
+runs that occur most often are broadcast (at most ``LIKELY``), the others are joined by shuffle, counted by text.
 
 The unigram baseline needs the count of every word: frequent words are broadcast (at most
 ``FREQUENT``), the others are joined by shuffle.
@@ -32,8 +33,8 @@ from cohortweave.llm.common import binary, mix, record_batch, slices, staged, ta
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDER = 5
-#: Entries (context and symbol) that the trie keeps per order, and words that are broadcast.
-ENTRIES = 400_000
+#: Runs and words that are broadcast.
+LIKELY = 2_000_000
 FREQUENT = 150_000
 MARK = 0xFF  # no byte of UTF-8: the start and end of a text
 SYMBOLS = 256
@@ -135,7 +136,8 @@ class Index:
 
 
 class Trie:
-    """Contexts of 0 to ORDER bytes. ``tables[k]`` has runs of k + 1 bytes and their counts, for whole contexts."""
+    """The model in one process, as ``log_runs`` has it in tables: contexts of 0 to ORDER bytes. ``tables[k]`` has runs
+    of k + 1 bytes and their counts, for whole contexts."""
 
     def __init__(self, tables: list[tuple[np.ndarray, np.ndarray]]):
         self.entries, self.contexts = [], []
@@ -215,42 +217,81 @@ def most_frequent(rows: DataFrame, total: str, most: int, weight: str | None = N
     return least * (1 - 1e-9)
 
 
-def learn_trie(texts: DataFrame, entries: int = ENTRIES) -> Trie:
-    """From all rows of ``texts`` (text, not null)."""
-    runs = staged(texts.select("text").mapInArrow(count_runs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
-    tables: list[tuple[np.ndarray, np.ndarray]] = []
-    at, least = runs, 0.0
-    for k in range(ORDER, -1, -1):
-        if k < ORDER:
-            at = staged(at.withColumn("key", F.col("key").bitwiseAND((1 << (8 * (k + 1))) - 1)).groupBy("key").agg(F.sum("n").alias("n")))
-        context = F.shiftrightunsigned("key", 8)
-        totals = staged(at.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("distinct")))
-        cut = most_frequent(totals, "total", entries, "distinct")
-        least = cut if k == ORDER else min(least, cut)  # a kept context's suffixes are kept
-        kept = totals.filter(F.col("total") >= least).select("context")
-        got = at.withColumn("context", context).join(kept, "context").select("key", "n").toArrow()
-        tables.insert(0, (got["key"].to_numpy().view(np.uint64), got["n"].to_numpy()))
-    return Trie(tables)
+def log_runs(texts: DataFrame) -> DataFrame:
+    """key, times, log: every distinct run of ``texts`` (text, not null; held_out), how often it occurs, and the decimal
+    log probability of its last byte by the texts that are not held out."""
+    held, symbol = F.coalesce("held_out", F.lit(True)), F.col("key").bitwiseAND(255).cast("int")
+    learnt, asked = (texts.filter(c).select("text").mapInArrow(count_runs, "key long, n long") for c in (~held, held))
+    none = F.lit(0).cast("long")
+    runs = staged(learnt.withColumn("m", none).unionByName(asked.select("key", none.alias("n"), F.col("n").alias("m")))
+                  .groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
+    context, size = F.shiftrightunsigned("key", 8), F.col("total") + F.col("distinct")
+    # the longest contexts with their runs, those that are held out only among them
+    tops = (runs.groupBy(context.alias("context"))
+            .agg(F.collect_list(F.struct("key", "n", "m")).alias("runs"), F.sum("n").alias("total"),
+                 F.sum((F.col("n") > 0).cast("long")).alias("distinct")))
+    gone = F.transform(F.filter("runs", lambda r: r["n"] > 0), lambda r: r["key"].bitwiseAND(255).cast("int"))
+    first = staged(tops.withColumn("gone", F.when(F.exists("runs", lambda r: r["n"] == 0), gone))
+                   .select(F.explode("runs").alias("r"), "total", "distinct", "gone")
+                   .select("r.key", (F.col("r.n") + F.col("r.m")).alias("times"), (F.col("r.n") > 0).alias("done"),
+                           F.when(F.col("r.n") > 0, F.log10("r.n") - F.log10(size))
+                           .when(F.col("distinct") > 0, F.log10("distinct") - F.log10(size)).otherwise(0.0).alias("log"),
+                           F.when(F.col("r.n") == 0, F.col("gone")).alias("gone")))
+    found, open_, at = first.filter("done"), first.filter("NOT done"), runs.filter("n > 0").select("key", "n")
+    for k in range(ORDER - 1, -1, -1):
+        at = staged(at.withColumn("key", F.col("key").bitwiseAND((1 << (8 * (k + 1))) - 1)).groupBy("key").agg(F.sum("n").alias("n")))
+        level = (at.groupBy(context.alias("context"))
+                 .agg(F.map_from_entries(F.collect_list(F.struct(symbol, "n"))).alias("seen"),
+                      F.sum("n").alias("total"), F.count("*").alias("distinct")))
+        # at most 256 contexts of one byte: a shuffle would deal the runs by their last byte but one
+        level = F.broadcast(level) if k < 2 else level
+        met = (open_.withColumn("context", context.bitwiseAND((1 << (8 * k)) - 1)).join(level, "context", "left")
+               .withColumn("known", F.col("seen").isNotNull() & ~F.col("done"))
+               # without the symbols seen in the longer context
+               .withColumn("left", F.col("distinct") - F.size("gone"))
+               .withColumn("whole", F.col("left") + F.col("total") - F.aggregate("gone", none, lambda a, s: a + F.col("seen")[s]))
+               .withColumn("n", F.col("seen")[symbol]))
+        hit = F.col("known") & F.col("n").isNotNull()
+        more = (F.when(hit, F.log10("n") - F.log10("whole"))
+                .when(F.col("known") & (F.col("left") > 0), F.log10("left") - F.log10("whole")).otherwise(0.0))
+        open_ = met.select("key", "times", (F.col("done") | hit).alias("done"), (F.col("log") + more).alias("log"),
+                           F.when(F.col("known") & ~hit, F.map_keys("seen")).otherwise(F.col("gone")).alias("gone"))
+    unseen = F.when(F.col("done"), 0.0).otherwise(F.log10(F.greatest(SYMBOLS - F.size("gone"), F.lit(1))))
+    return staged(found.select("key", "times", "log").unionByName(open_.select("key", "times", (F.col("log") - unseen).alias("log"))))
 
 
 SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                     ("base_score", pa.float64()), ("score", pa.float64()),
-                    ("rare", pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])))])
+                    ("rare", pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
+                    ("runs", pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())])))])
 SCORED_DDL = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-              "rare array<struct<word: string, times: long>>")
+              "rare array<struct<word: string, times: long>>, runs array<struct<key: long, times: long>>")
+
+
+def runs_by_text(keys: np.ndarray, owner: np.ndarray, n: int) -> pa.ListArray:
+    """The keys of each of ``n`` texts and how often they occur in it."""
+    order = np.lexsort((keys, owner))
+    keys, owner = keys[order], owner[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(keys)))
+    runs = pa.StructArray.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(times, pa.int64())],
+                                      fields=list(SCORED.field("runs").type.value_type))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[first], np.arange(n + 1)), pa.int32()), runs)
 
 
 def score_texts(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, frequent = shared.value
-        ln10 = math.log(10)
+        index, log_of, frequent = shared.value  # a 0 at the end of log_of, for those not found
         for batch in batches:
             texts = [(t or b"").translate(LOWER) for t in binary(batch.column(2))]
             for lo, hi in slices(texts, SLICE):
-                score = np.zeros(hi - lo)
-                if trie is not None:
-                    keys, begins = text_keys(texts[lo:hi])
-                    score = np.add.reduceat(trie.logs(keys), begins) / ln10
+                keys, begins = text_keys(texts[lo:hi])
+                at = index.find(keys)
+                score = np.add.reduceat(log_of[at], begins)
+                other_runs = np.flatnonzero(at < 0)
+                owner = np.searchsorted(begins, other_runs, side="right") - 1
                 n_tokens, n_known, base, rare = [], [], [], []
                 for t in texts[lo:hi]:
                     words = t.split()
@@ -262,12 +303,13 @@ def score_texts(shared):
                     rare.append([{"word": w, "times": n} for w, n in other.items()])
                 n = hi - lo
                 yield record_batch(SCORED, (batch.column(0).slice(lo, n), batch.column(1).slice(lo, n),
-                                            n_tokens, n_known, base, score, rare))
+                                            n_tokens, n_known, base, score, rare,
+                                            runs_by_text(keys[other_runs], owner, n)))
 
     return run
 
 
-def score(docs: DataFrame, held_out: Column) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, likely: int = LIKELY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs`` (doc_id, text).
 
     Learns from the rows that are not held out. Null texts are empty: one token, the end. With nothing to learn
@@ -283,17 +325,26 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     cut = most_frequent(words, "n", FREQUENT)
     frequent = {r["word"].encode(): math.log10((r["n"] + 0.5) / below)
                 for r in words.filter(F.col("n") >= cut).toLocalIterator()}  # at most FREQUENT
-    shared = spark.sparkContext.broadcast((learn_trie(learnt), frequent))
+    logs = log_runs(rows)
+    least = most_frequent(logs, "times", likely)
+    got = logs.filter(F.col("times") >= least).select("key", "log").toArrow()  # at most likely
+    shared = spark.sparkContext.broadcast((Index(got["key"].to_numpy().view(np.uint64)), np.append(got["log"].to_numpy(), 0.0), frequent))
     scored = staged(rows.mapInArrow(score_texts(shared), SCORED_DDL).withColumn("uid", F.monotonically_increasing_id()))
-    rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.times")
     n = F.coalesce("n", F.lit(0))
-    more = (rare.join(words.filter(F.col("n") < cut), "word", "left").groupBy("uid")
-            .agg(F.sum(F.col("times") * F.log10((n + 0.5) / below)).alias("more"),
-                 F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known")))
-    return scored.drop("rare").join(more, "uid", "left").select(
+    rare = (scored.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.times")
+            .join(words.filter(F.col("n") < cut), "word", "left")
+            .select("uid", (F.col("times") * F.log10((n + 0.5) / below)).alias("more"),
+                    F.when(n > 0, F.col("times")).otherwise(0).alias("known"), F.lit(0.0).alias("rest")))
+    other = (scored.select("uid", F.explode("runs").alias("r")).select("uid", "r.key", F.col("r.times").alias("here"))
+             .join(logs.filter(F.col("times") < least), "key")
+             .select("uid", F.lit(0.0).alias("more"), F.lit(0).cast("long").alias("known"), (F.col("here") * F.col("log")).alias("rest")))
+    more = (rare.unionByName(other).groupBy("uid")
+            .agg(F.sum("more").alias("more"), F.sum("known").alias("known"), F.sum("rest").alias("rest")))
+    return scored.drop("rare", "runs").join(more, "uid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"))
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,6 +127,30 @@ def test_scoring(spark):
         assert r.base_score == pytest.approx(want[r.doc_id][3]) and r.score == pytest.approx(want[r.doc_id][4])
 
 
+@pytest.mark.parametrize("likely", [0, 40])
+def test_scoring_with_runs_joined_by_shuffle(spark, likely, monkeypatch):
+    monkeypatch.setattr(scoring, "SLICE", 30)
+    texts = ["The cat sat.", "the cat", None, "", "é the cat sat on", "dog dog", "the cat", "dogs sat, cats on"]
+    rows = [(i, texts[i % len(texts)]) for i in range(40)]
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    want = brute.ppm(rows, scoring.ORDER, scoring.LOWER)
+    for r in scoring.score(frame(spark, rows).coalesce(1), held_out, likely).collect():
+        assert r.score == pytest.approx(want[r.doc_id][4])
+
+
+def test_scoring_keeps_every_context(spark):
+    draw = np.random.default_rng(2)
+    texts = [bytes(draw.integers(97, 123, 10_000, dtype=np.uint8)) for _ in range(60)]
+    keys = [scoring.text_keys([t])[0] for t in texts]
+    run, n = np.unique(np.concatenate(keys), return_counts=True)
+    context, at = np.unique(run >> np.uint64(8), return_inverse=True)
+    size = np.bincount(at, n) + np.bincount(at)
+    assert len(run) > 500_000
+    log = np.log10(n / size[at])
+    for r in scoring.score(frame(spark, [(i, t.decode()) for i, t in enumerate(texts)]), F.lit(False)).collect():
+        assert r.score == pytest.approx(log[np.searchsorted(run, keys[r.doc_id])].sum())
+
+
 def test_next_symbols_sum_to_one():
     keys, n = np.unique(scoring.text_keys([b"abracadabra", b"abab"])[0], return_counts=True)
     tables = []
