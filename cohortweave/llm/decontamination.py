@@ -144,8 +144,11 @@ def without_hits(text: bytes, windows: WindowSet) -> bytes:
     """``text`` without the words of hit windows and what stands between them."""
     words = normal_words(text)
     spans = [x for p, n, _ in windows.hits(words, names(words)) for x in (p, p + n)]
-    if not spans:
-        return text
+    return without_words(text, spans) if spans else text
+
+
+def without_words(text: bytes, spans: list[int]) -> bytes:
+    """``text`` without the words of the spans (flat: start, end, ...) and what stands between them."""
     places = [m.span() for m in WORD.finditer(text.lower())]
     out, at = [], 0
     for a, b in merged(spans):
@@ -202,6 +205,28 @@ def window_blocks(benchmark: DataFrame, block: int = BLOCK_WINDOWS) -> Iterator[
     yield out
 
 
+def scans(docs: DataFrame, blocks: list) -> list[DataFrame]:
+    """One scan of the texts for each broadcast ``WindowSet``."""
+    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("row"),
+                        F.col("text").cast("string"))
+    return [texts.mapInArrow(scan(shared), SCANNED_DDL) for shared in blocks]
+
+
+def every_hit(found: list[DataFrame]) -> DataFrame:
+    """doc_id, row, spans and items of the texts with a hit in one of the scans."""
+    hits = [f.filter(F.size("items") > 0) for f in found]
+    every = hits[0]
+    for f in hits[1:]:
+        every = every.unionByName(f)
+    return every.groupBy("doc_id", "row").agg(
+        F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
+
+
+def hit_spans(docs: DataFrame, blocks: list) -> DataFrame:
+    """doc_id, row (hash of the text), spans of the texts with a hit in one of the blocks."""
+    return every_hit(scans(docs, blocks)).select("doc_id", "row", "spans")
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_WINDOWS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_words, n_hit, n_items, items_sha256,
     contaminated, spans (flat word positions of the hit windows), items (ids, sorted as strings).
@@ -210,18 +235,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK
     the same id are one item; a null id counts as the id ''; items without words match nothing.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("row"),
-                        F.col("text").cast("string"))
-    found = [texts.mapInArrow(scan(spark.sparkContext.broadcast(WindowSet(windows))), SCANNED_DDL)
-             for windows in window_blocks(benchmark, block)]
+    found = scans(docs, [spark.sparkContext.broadcast(WindowSet(windows)) for windows in window_blocks(benchmark, block)])
     out = found[0]
     if len(found) > 1:
-        hits = [f.filter(F.size("items") > 0) for f in found]
-        every = hits[0]
-        for f in hits[1:]:
-            every = every.unionByName(f)
-        every = every.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("own")).agg(
-            F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
+        every = every_hit(found).withColumnsRenamed({"doc_id": "id", "row": "own"})
         out = (out.drop("spans", "items").join(every, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("own")), "left")
                .select("doc_id", "row", "n_words", F.coalesce("spans", F.array().cast("array<bigint>")).alias("spans"),
                        F.coalesce("items", F.array().cast("array<string>")).alias("items")))

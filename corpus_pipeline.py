@@ -54,6 +54,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rest.select(*docs.columns)
 
 
+def _cut_spans(at: int):
+    """Remove the words of the spans in the last column from the text at column ``at`` and what stands between them."""
+    def run(batches):
+        for batch in batches:
+            texts, spans = binary(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist()
+            out = [decontamination.without_words(t, s) if s else t for t, s in zip(texts, spans)]
+            columns = list(batch.columns)[:-1]
+            columns[at] = pa.array(out, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return run
+
+
 def _cut_hits(shared, at: int):
     """Remove the words of hit windows from the text at column ``at`` and what stands between them."""
     def run(batches):
@@ -67,15 +80,26 @@ def _cut_hits(shared, at: int):
     return run
 
 
+def cut_benchmark(docs: DataFrame, benchmark: DataFrame, block: int = decontamination.BLOCK_WINDOWS) -> DataFrame:
+    """``docs`` without the words of benchmark windows. Of several blocks of windows, all are looked for in the unchanged
+    texts, and the union of their hits is cut once."""
+    at = docs.columns.index("text")
+    blocks = [docs.sparkSession.sparkContext.broadcast(decontamination.WindowSet(w))
+              for w in decontamination.window_blocks(benchmark, block)]
+    if len(blocks) == 1:
+        return docs.mapInArrow(_cut_hits(blocks[0], at), docs.schema)
+    spans = decontamination.hit_spans(docs, blocks)
+    rows = docs.withColumn("_own", F.xxhash64(F.col("text").cast("string")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_row"))
+    return (rows.join(spans.toDF("_id", "_row", "_spans"), same, "left").select(*docs.columns, "_spans")
+            .mapInArrow(_cut_spans(at), docs.schema))
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut every occurrence of a benchmark window out of the texts; a document with nothing left goes."""
-    columns = docs.columns
-    out = docs
-    for windows in decontamination.window_blocks(table(spark, sf_dir, "benchmark")):
-        shared = spark.sparkContext.broadcast(decontamination.WindowSet(windows))
-        out = out.mapInArrow(_cut_hits(shared, columns.index("text")), docs.schema)
+    out = cut_benchmark(docs, table(spark, sf_dir, "benchmark"))
     kept = out.filter(F.length(F.btrim("text", F.lit(quality_rules.SPACES))) > 0)
-    return _with_text(kept, F.col("text"), columns)
+    return _with_text(kept, F.col("text"), docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,17 @@ def test_pipeline(spark, sf_dir):
     found = secrets.find_secrets(stages["secret_scans"], "doc_id").filter("size(base) > 0")
     assert found.count() == 0
     assert stages["packing"].select("doc_id").distinct().count() == stages["secret_scans"].count()
+
+
+def test_pipeline_cuts_the_union_of_all_blocks(spark, sf_dir, monkeypatch):
+    words = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([("i1", words), ("i2", "zeta"), ("i3", "ten eleven"), ("i4", "x y")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"a {words} b"), (2, "Zeta, c"), (None, None), (1, "d ten eleven e"), (1, "d ten eleven e"),
+                                  (3, f"x {words} y")], "doc_id long, text string")
+    blocks = decontamination.window_blocks
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: items)
+    got = {}
+    for block in (1, 2, 200_000):
+        monkeypatch.setattr(decontamination, "window_blocks", lambda b, n=None, k=block: blocks(b, k))
+        got[block] = brute.order(map(tuple, corpus_pipeline.decontaminate(spark, docs, sf_dir).collect()))
+    assert got[1] == got[2] == got[200_000] == brute.order([(1, "a  b"), (2, ", c"), (1, "d  e"), (1, "d  e"), (3, "x  y")])
