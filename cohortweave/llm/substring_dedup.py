@@ -47,9 +47,10 @@ ANCHOR_LEVELS = (4, 2, 0)
 BLOCK = 1_000_000
 #: A document without an id is ordered after all others.
 LAST = (1 << 63) - 1
-TAG_BITS, START_BITS, COUNT_BITS = 29, 30, 5
+COUNT_BITS = 5
 
-STRETCHES = pa.schema([("anchor", pa.int64()), ("stretch", pa.int64()), ("doc", pa.int64()), ("ref", pa.int64())])
+STRETCHES = pa.schema([("anchor", pa.int64()), ("stretch", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()),
+                       ("ref", pa.int64())])
 
 
 class Level:
@@ -201,20 +202,20 @@ class Combiner:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.rows:
             return
-        anchor, content, doc, ref = (np.concatenate(c) for c in zip(*self.parts))
+        anchor, content, doc, tag, ref = (np.concatenate(c) for c in zip(*self.parts))
         self.parts, self.rows = [], 0
         order, new = first_of_equals(anchor, content, doc)
         smallest = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
         known = order[doc[order] > smallest]
         sent = order[doc[order] == smallest]
-        yield record_batch(STRETCHES, (anchor[sent], content[sent], doc[sent], ref[sent]))
-        yield known_repeats(doc[known], ref[known])
+        yield record_batch(STRETCHES, (anchor[sent], content[sent], doc[sent], tag[sent], ref[sent]))
+        yield known_repeats(doc[known], tag[known], ref[known])
 
 
-def known_repeats(doc: np.ndarray, ref: np.ndarray) -> pa.RecordBatch:
+def known_repeats(doc: np.ndarray, tag: np.ndarray, ref: np.ndarray) -> pa.RecordBatch:
     """Rows that need no company: dealt by their own hash, without content."""
-    own = mix(ref.view(np.uint64) ^ mix(doc.view(np.uint64))).view(np.int64)
-    return record_batch(STRETCHES, (own, pa.nulls(len(doc), pa.int64()), doc, ref))
+    own = mix(ref.view(np.uint64) ^ mix(doc.view(np.uint64) ^ mix(tag.view(np.uint64)))).view(np.int64)
+    return record_batch(STRETCHES, (own, pa.nulls(len(doc), pa.int64()), doc, tag, ref))
 
 
 def find_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,17 +229,18 @@ def find_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             owner, start, more, anchor, content = stretches([t.split() for t in texts[lo:hi]])
             if not len(owner):
                 continue
-            ref = (tag[lo:hi][owner] << (START_BITS + COUNT_BITS)) | (start << COUNT_BITS) | more
+            ref = (start << COUNT_BITS) | more
+            own_doc, own_tag = doc[lo:hi][owner], tag[lo:hi][owner]
             order, new = first_of_equals(owner, anchor, content, start)
             later, first = order[~new], order[new]
-            yield known_repeats(doc[lo:hi][owner[later]], ref[later])
-            held.add((anchor[first], content[first], doc[lo:hi][owner[first]], ref[first]))
+            yield known_repeats(own_doc[later], own_tag[later], ref[later])
+            held.add((anchor[first], content[first], own_doc[first], own_tag[first], ref[first]))
             if held.rows >= BLOCK:
                 yield from held.flush()
     yield from held.flush()
 
 
-VERDICTS = pa.schema([("doc", pa.int64()), ("ref", pa.int64()), ("verify", pa.bool_())])
+VERDICTS = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("ref", pa.int64()), ("verify", pa.bool_())])
 
 
 def judge_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,9 +252,9 @@ def judge_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             continue
         known = np.asarray(batch.column(1).is_null())
         content = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False)
-        anchor, doc, ref = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
-        yield record_batch(VERDICTS, (doc[known], ref[known], np.zeros(int(known.sum()), bool)))
-        anchor, content, doc, ref = (x[~known] for x in (anchor, content, doc, ref))
+        anchor, doc, tag, ref = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4))
+        yield record_batch(VERDICTS, (doc[known], tag[known], ref[known], np.zeros(int(known.sum()), bool)))
+        anchor, content, doc, tag, ref = (x[~known] for x in (anchor, content, doc, tag, ref))
         n = len(anchor)
         if not n:
             continue
@@ -277,16 +279,17 @@ def judge_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         has_next = next_group < len(ends)
         at = np.flatnonzero(lone)
         follows[at[has_next]] = ~new_anchor[ends[next_group[has_next]]]
-        out_doc, out_ref, out_verify = [doc[repeat], doc[verify | follows]], [ref[repeat], ref[verify | follows]], []
+        out_doc, out_tag, out_ref = ([x[repeat], x[verify | follows]] for x in (doc, tag, ref))
         out_verify = [np.zeros(int(repeat.sum()), bool), np.ones(int((verify | follows).sum()), bool)]
         if pending is not None and len(ends):
             if not new_anchor[ends[0]]:
-                out_doc.append(np.array([pending[0]])), out_ref.append(np.array([pending[1]]))
+                for out, x in zip((out_doc, out_tag, out_ref), pending):
+                    out.append(np.array([x]))
                 out_verify.append(np.ones(1, bool))
             pending = None
         if len(at) and not has_next[-1]:
-            pending = (doc[at[-1]], ref[at[-1]])
-        yield record_batch(VERDICTS, [np.concatenate(x) for x in (out_doc, out_ref, out_verify)])
+            pending = (doc[at[-1]], tag[at[-1]], ref[at[-1]])
+        yield record_batch(VERDICTS, [np.concatenate(x) for x in (out_doc, out_tag, out_ref, out_verify)])
         last_anchor, last_content, smallest = anchor[-1], content[-1], low[-1]
         first_of_anchor = bool(in_first[-1])
 
@@ -312,7 +315,7 @@ def kept_digest(words: list[bytes], gone: np.ndarray) -> tuple[int, int, str]:
 
 def unpack(ref: int) -> tuple[int, int]:
     """(first window, number of windows) of a stretch."""
-    return (ref >> COUNT_BITS) & ((1 << START_BITS) - 1), (ref & ((1 << COUNT_BITS) - 1)) + 1
+    return ref >> COUNT_BITS, (ref & ((1 << COUNT_BITS) - 1)) + 1
 
 
 WINDOW = pa.struct([("high", pa.int64()), ("low", pa.int64()), ("at", pa.int64())])
@@ -411,14 +414,13 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     keyed = docs.select(
         "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
         F.col("text").cast("string").alias("text"),
-    ).withColumn("tag", F.xxhash64("text").bitwiseAND((1 << TAG_BITS) - 1))
+    ).withColumn("tag", F.xxhash64("text"))
     keyed = keyed.withColumn("doc_id", F.col("doc_id").cast("long"))
     found = (keyed.filter(F.col("text").isNotNull()).select("doc", "tag", "text")
              .mapInArrow(find_stretches, ddl(STRETCHES)))
     verdicts = (found.repartition("anchor").sortWithinPartitions("anchor", "stretch", "doc")
                 .mapInArrow(judge_stretches, ddl(VERDICTS)))
-    per_text = (verdicts.withColumn("tag", F.shiftrightunsigned("ref", START_BITS + COUNT_BITS))
-                .groupBy("doc", "tag")
+    per_text = (verdicts.groupBy("doc", "tag")
                 .agg(F.collect_list(F.when(~F.col("verify"), F.col("ref"))).alias("repeats"),
                      F.collect_list(F.when(F.col("verify"), F.col("ref"))).alias("verify")))
     opened = staged_by(keyed.join(per_text, ["doc", "tag"], "left")

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cohortweave.llm import (components, decontamination, jaccard_join, language_id, packing, quality_classifier,
@@ -40,6 +41,18 @@ def test_substring_dedup(spark, odd):
     assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_substring_dedup_tells_rows_without_id_apart(spark):
+    words = [f"w{i}" for i in range(20)]
+    tag = lambda t: xxhash.xxh64_intdigest(t, seed=42) % (1 << 29)
+    repeats = {tag(t): t for t in (" ".join([str(i), *words, "x", *words]) for i in range(60_000))}
+    others = {tag(t): t for t in (" ".join([str(i), *(w + "y" for w in words)]) for i in range(60_000))}
+    alike = sorted(repeats.keys() & others.keys())
+    rows = [(None, texts[k]) for k in alike for texts in (repeats, others)]
+    assert rows
+    got = substring_dedup.remove_repeats(frame(spark, rows), keep_text=False).collect()
+    assert brute.order(map(tuple, got)) == brute.order(brute.repeats(rows))
+
+
 def test_packing_is_an_exact_round_trip(spark, odd):
     from tokenizers import Tokenizer
 
