@@ -5,7 +5,7 @@ signs that hold a letter and a digit, infers the encoding (hex, base32, lower-ca
 to their place in its alphabet, and tests that the places are random: chi-squared uniformity (with the exact
 variance for short runs), runs below and above the middle, and serial correlation, combined
 by Fisher's method. Random strings have uniform p-values, prose has small ones; by (encoding, length class) a
-histogram of the corpus tells how many of the strings above a p-value are not random, and the
+histogram of the corpus's distinct strings tells how many of those above a p-value are not random, and the
 smallest p-value with an estimated false-discovery rate of at most ``FDR`` is the limit there.
 """
 
@@ -113,7 +113,7 @@ def encoding(run: Column) -> Column:
 
 
 def random_runs(text: Column) -> Column:
-    """Structs (start, end, encoding, class, p) of the runs whose encoding can be told."""
+    """Structs (start, end, encoding, class, p, hash of the value) of the runs whose encoding can be told."""
     def tested(run: Column) -> Column:
         v = run["value"]
         return let(encoding(v), lambda e: F.struct(
@@ -121,9 +121,9 @@ def random_runs(text: Column) -> Column:
             F.lit(0) + sum((F.length(v) >= low).cast("int") for low in LENGTHS[1:]),
             F.when(e.isNull(), F.lit(0.0)).when(e == 0, battery(_places(F.lower(v), HEX_DIGITS), 16))
             .when(e == 1, battery(_places(v, BASE32), 32)).when(e == 2, battery(_places(v, LOWER36), 36))
-            .otherwise(battery(_places(F.translate(v, "-_", "+/"), BASE64), 64)).alias("p")))
+            .otherwise(battery(_places(F.translate(v, "-_", "+/"), BASE64), 64)).alias("p"), F.xxhash64(v)))
 
-    kind = "array<struct<start:int,end:int,encoding:int,class:int,p:double>>"
+    kind = "array<struct<start:int,end:int,encoding:int,class:int,p:double,own:bigint>>"
     return F.filter(F.transform(spans(text, RUN, 3), tested).cast(kind), lambda r: r["encoding"].isNotNull())
 
 
@@ -142,12 +142,14 @@ def limits(scanned: DataFrame) -> list[tuple[int, int, float]]:
     """(encoding, class, least p) where the estimated false-discovery rate is at most ``FDR``.
 
     Random runs have uniform p-values: twice the number above one half estimates how many there
-    are; of the runs above a limit, the rest is false. At most 24 x 20 rows come to the driver.
+    are; of the runs above a limit, the rest is false. Copies of a run are not independent: each distinct run counts
+    once, and the limits hold for all its copies. At most 24 x 20 rows come to the driver.
     """
     step = F.least(F.floor(F.col("r.p") * P_STEPS), F.lit(P_STEPS - 1)).cast("int")
     counts: dict[tuple[int, int], list[int]] = {}
     for row in (scanned.select(F.explode("runs").alias("r"))
-                .groupBy(F.col("r.encoding").alias("e"), F.col("r.class").alias("c"), step.alias("s"))
+                .select(F.col("r.encoding").alias("e"), F.col("r.class").alias("c"), step.alias("s"), "r.own").distinct()
+                .groupBy("e", "c", "s")
                 .agg(F.count("*").alias("n")).collect()):
         counts.setdefault((row["e"], row["c"]), [0] * P_STEPS)[row["s"]] = row["n"]
     out = []

@@ -198,6 +198,18 @@ def test_random_strings_pass_the_battery_and_prose_does_not(spark):
     assert max(r.p for r in got if r.doc_id >= 60) < 0.05
 
 
+def test_copies_of_a_run_do_not_move_the_limits(spark):
+    draw = random.Random(4)
+    rows = ["".join(draw.choice(secrets.BASE64) for _ in range(40)) for _ in range(400)]
+    tested = secrets.scan(frame(spark, list(enumerate(rows))), "doc_id").select("doc_id", F.explode("runs").alias("r"))
+    p = {r.doc_id: r.p for r in tested.select("doc_id", "r.p").collect()}
+    plain = secrets.limits(secrets.scan(frame(spark, list(enumerate(rows)))))
+    assert plain
+    for low, high in ((0.25, 0.35), (0.6, 0.9)):
+        copied = next(rows[i] for i, x in p.items() if low < x < high)
+        assert secrets.limits(secrets.scan(frame(spark, list(enumerate(rows + [copied] * 3000))))) == plain
+
+
 def test_language_id_on_held_out_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = language_id.op8_language_id(spark, sf_dir).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
