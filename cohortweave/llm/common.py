@@ -50,6 +50,29 @@ def staged_by(df: DataFrame, *keys: str) -> DataFrame:
     return spark.table(name)
 
 
+class Buckets:
+    """Tables in buckets, sorted by their key, for the joins inside a ``with``: each join on the key reads them
+    without moving or sorting. At the end their names leave the catalog (a plan made inside must have run)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.names = spark, []
+
+    def __enter__(self) -> Buckets:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def staged(self, df: DataFrame, key: str) -> DataFrame:
+        name = f"llm_{uuid.uuid4().hex}"
+        self.names.append(name)
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (df.repartition(buckets, key).write.option("compression", "zstd").option("path", f"{shared_folder(self.spark)}/{name}")
+           .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+        return self.spark.table(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
