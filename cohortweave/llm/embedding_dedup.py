@@ -325,7 +325,7 @@ QUERIES = {"op12_embedding_dedup": op12_embedding_dedup}
 ORACLE_SQL = {"op12_embedding_dedup": """
 WITH RECURSIVE vectors AS (
     SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-    WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
     SELECT a.vec_id, b.vec_id AS other FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
     WHERE list_cosine_similarity(a.v, b.v) >= 0.98),

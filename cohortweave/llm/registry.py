@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = (
     "substring_dedup", "packing", "decontamination", "sharding", "scoring",
     "quality_classifier", "secrets", "language_id", "quality_rules", "jaccard_join",
-    "embedding_dedup", "spelling",
+    "ranked_search", "embedding_dedup", "spelling",
 )
 
 
