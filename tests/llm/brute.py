@@ -127,3 +127,85 @@ def ppm(rows, depth, lower, mod=5):
                   sum(math.log10((count[x] + 0.5) / (total + 0.5 * (distinct + 1))) for x in w),
                   sum(log_p(s[p - depth:p], s[p]) for p in range(depth, len(s))))
     return out
+
+
+def search(rows, items, best=10):
+    """(item_id, rank, doc_id, score); rows with a term are documents, items with one id are one item."""
+    def terms(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+
+    docs = [(d, Counter(t)) for d, t in ((d, terms(t)) for d, t in rows) if t]
+    n_docs, total = len(docs), sum(c.total() for _, c in docs)
+    df = Counter(t for _, c in docs for t in c)
+    asked = defaultdict(Counter)
+    for item, text in set(items):
+        asked[item].update(terms(text))
+    out = []
+    for item, want in asked.items():
+        scores = []
+        for d, c in docs:
+            m = 25 + (75 * c.total() * n_docs) // total
+            score = sum(k * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                        for t, k in want.items() if t in c)
+            if score > 0:
+                scores.append((-score, d is None, d or 0, d))
+        out += [(item, rank, r[3], -r[0]) for rank, r in enumerate(sorted(scores, key=lambda r: r[:3])[:best], 1)]
+    return out
+
+
+def linked_vectors(rows, threshold=0.98):
+    """(vec_id, n_links, component_id, kept) of (vec_id, vector, label) rows, by all pairs."""
+    def unit(v, label):
+        if v is None or label is None or not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            return None
+        top = max(map(abs, v))
+        norm = math.sqrt(sum((x / top) ** 2 for x in v))
+        return [x / top / norm for x in v]
+
+    units = [unit(v, label) for _, v, label in rows]
+    near = [[j for j, w in enumerate(units) if j != i and u is not None and w is not None and rows[i][2] == rows[j][2]
+             and len(u) == len(w) and sum(map(float.__mul__, u, w)) >= threshold - 1e-13] for i, u in enumerate(units)]
+    out, known = [None] * len(rows), set()
+    for i in range(len(rows)):
+        if i in known:
+            continue
+        group, todo = {i}, [i]
+        while todo:
+            for j in near[todo.pop()]:
+                if j not in group:
+                    group.add(j)
+                    todo.append(j)
+        known |= group
+        least = min((rows[j][0] for j in group if rows[j][0] is not None), default=None)
+        for j in group:
+            out[j] = (rows[j][0], len(near[j]), least, rows[j][0] == least)
+    return out
+
+
+def variants(rows, deleted=None):
+    """(word, form, root, n, n_near, form_n) by all candidates of one edit."""
+    counts = Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")):
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if deleted and h % deleted == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+    letters = sorted({c for w in words for c in w})
+    near = {}
+    for w in words:
+        made = {w[:p] + w[p + 1:] for p in range(len(w))}
+        made |= {w[:p] + c + w[p + k:] for p in range(len(w) + 1) for c in letters for k in (0, 1)}
+        near[w] = {m for m in made if m in words and m != w}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-words[o], o), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * words[w] else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words.get(form[w])))
+    return out
