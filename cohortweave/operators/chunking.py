@@ -2,28 +2,24 @@
 
 from __future__ import annotations
 
-import sys
-from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from cohortweave.operators.sequence import row_block, sequence_within
 
-# The functions below travel to the executors, which need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 CHUNK_SIZE, CHUNK_OVERLAP = 1000, 150
 
 # Places to cut, best first (paragraph, line, blank, anywhere).
 SEPARATORS = ("\n\n", "\n", " ", "")
 
+#: What counts as blank at the edges of a chunk.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
-def fixed_chunks(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
+
+def _stepped(text: Column, size: int, overlap: int) -> Column:
     """Chunks of ``size`` characters, each starting ``size - overlap`` after the last; the
     final one ends with the text. Empty text has none.
 
@@ -31,72 +27,78 @@ def fixed_chunks(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CH
     beginning of what follows, so the work is linear in the text.
     """
     step = size - overlap
-    per_chunk = -(-size // step)  # pieces a chunk reaches into
-    cut = documents.select(
-        "doc_id", F.length("text").alias("length"),
-        F.regexp_extract_all("text", F.lit(f"(?s).{{1,{step}}}"), F.lit(0)).alias("pieces"))
-    following = [
-        F.slice("pieces", F.lit(i + 1), F.greatest(F.size("pieces") - i, F.lit(0))) for i in range(per_chunk)]
-    joined = F.transform(F.arrays_zip(*[f.alias(f"p{i}") for i, f in enumerate(following)]), lambda z: F.left(
-        F.concat(*[F.coalesce(z[f"p{i}"], F.lit("")) for i in range(per_chunk)]), F.lit(size)))
-    count = F.greatest(F.ceil((F.col("length") - overlap) / F.lit(step)), F.lit(1)).cast("int")
-    return cut.select("doc_id", F.when(F.col("length") > 0, F.slice(joined, F.lit(1), count)).otherwise(
-        F.array().cast("array<string>")).alias("chunks"))
-
-
-def _cut(text: str, separator: str) -> list[str]:
-    """Pieces of ``text``; every piece after the first begins with its separator."""
+    reach = -(-size // step)  # pieces a chunk reaches into
+
+    def joined(cut: Column) -> Column:
+        following = [F.slice(cut, F.lit(i + 1), F.greatest(F.size(cut) - i, F.lit(0))) for i in range(reach)]
+        return F.transform(F.arrays_zip(*[f.alias(f"p{i}") for i, f in enumerate(following)]), lambda z: F.left(
+            F.concat(*[F.coalesce(z[f"p{i}"], F.lit("")) for i in range(reach)]), F.lit(size)))
+
+    count = F.greatest(F.ceil((F.length(text) - overlap) / F.lit(step)), F.lit(1)).cast("int")
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    whole = F.element_at(F.transform(F.array(pieces), joined), 1)  # the lambda binds the pieces, which are cut once
+    return F.when(F.length(text) > 0, F.slice(whole, F.lit(1), count)).otherwise(F.array().cast("array<string>"))
+
+
+def fixed_chunks(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
+    """``doc_id`` and chunks of ``size`` characters, each starting ``size - overlap`` after the last."""
+    return documents.select("doc_id", _stepped(F.col("text"), size, overlap).alias("chunks"))
+
+
+def _filled(pieces: Column, size: int, overlap: int, finer: Callable[[Column], Column]) -> Column:
+    """Chunks of consecutive pieces: a piece of ``size`` or more is cut further by ``finer``, shorter ones are
+    joined up to ``size``, and a new chunk keeps up to ``overlap`` characters worth of the last one's last pieces.
+
+    One fold over the pieces; its state is the chunks so far, the pieces of the chunk being filled and their length.
+    """
+    none = F.array().cast("array<string>")
+
+    def state(out: Column, window: Column, held: Column) -> Column:
+        return F.struct(out.alias("out"), window.alias("window"), held.alias("held"))
+
+    def flushed(s: Column) -> Column:
+        return F.when(F.size(s["window"]) > 0, F.array(F.array_join(s["window"], ""))).otherwise(none)
+
+    def started(s: Column, piece: Column) -> Column:
+        """The chunk is full: hand it on and begin the next with the last pieces that still fit."""
+        room = F.least(F.lit(overlap), F.lit(size) - F.length(piece))
+
+        def keep(k: Column, x: Column) -> Column:
+            fits = k["open"] & (k["held"] + F.length(x) <= room)
+            return F.when(fits, F.struct(F.concat(F.array(x), k["window"]).alias("window"), (k["held"] + F.length(x)).alias("held"),
+                                         F.lit(True).alias("open"))).otherwise(
+                F.struct(k["window"].alias("window"), k["held"].alias("held"), F.lit(False).alias("open")))
+
+        nothing = F.struct(none.alias("window"), F.lit(0).alias("held"), F.lit(True).alias("open"))
+        return F.aggregate(F.reverse(s["window"]), nothing, keep, lambda k: state(
+            F.concat(s["out"], flushed(s)), F.concat(k["window"], F.array(piece)), k["held"] + F.length(piece)))
+
+    def step(s: Column, piece: Column) -> Column:
+        n = F.length(piece)
+        return (F.when(n >= size, state(F.concat(s["out"], flushed(s), finer(piece)), none, F.lit(0)))
+                .when((F.size(s["window"]) > 0) & (s["held"] + n > size), started(s, piece))
+                .otherwise(state(s["out"], F.concat(s["window"], F.array(piece)), s["held"] + n)))
+
+    return F.aggregate(pieces, state(none, none, F.lit(0)), step, lambda s: F.concat(s["out"], flushed(s)))
+
+
+def _cut(text: Column, separators: Sequence[str], size: int, overlap: int) -> Column:
+    """``text`` cut at the first separator, over-long pieces at the next ones; every piece after the first begins
+    with its separator. (A text without the separator is one piece, so the best separator present is found on the way.)"""
+    separator, *finer = separators
     if not separator:
-        return list(text)
-    head, *rest = text.split(separator)
-    return [piece for piece in (head, *(separator + r for r in rest)) if piece]
-
-
-def _join(pieces: Sequence[str], size: int, overlap: int) -> Iterator[str]:
-    """Fill chunks with consecutive short pieces; a new chunk keeps up to ``overlap``
-    characters worth of the previous one's last pieces."""
-    window: deque[str] = deque()
-    length = 0
-    for piece in pieces:
-        if window and length + len(piece) > size:
-            yield "".join(window)
-            while window and (length > overlap or length + len(piece) > size):
-                length -= len(window.popleft())
-        window.append(piece)
-        length += len(piece)
-    if window:
-        yield "".join(window)
-
-
-def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-               separators: Sequence[str] = SEPARATORS) -> Iterator[str]:
-    """Cut at the best separator present, refine over-long pieces with the next ones, and
-    join short neighbours back together."""
-    at = next((i for i, s in enumerate(separators) if s in text), len(separators) - 1)
-    finer = separators[at + 1:] if separators[at] else ()
-    short: list[str] = []
-    for piece in _cut(text, separators[at]):
-        if len(piece) < size:
-            short.append(piece)
-            continue
-        yield from _join(short, size, overlap)
-        short = []
-        if finer:
-            yield from split_text(piece, size, overlap, finer)
-        else:
-            yield piece
-    yield from _join(short, size, overlap)
-
-
-def separator_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
-    """Separator-aware chunks of whole texts, blank edges trimmed and blank chunks left
-    out. The recursion over separators has no built-in form, hence an Arrow batch UDF."""
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [] if t is None else [
-            c for c in (chunk.strip() for chunk in split_text(t, size, overlap)) if c])
-
-    return split(text)
+        return _stepped(text, size, overlap)
+    parts = F.transform(F.split(text, f"\\Q{separator}\\E", -1), lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.lit(separator), x)))
+    last = (lambda piece: _cut(piece, finer, size, overlap)) if finer else (lambda piece: F.array(piece))
+    return _filled(F.filter(parts, lambda x: x != ""), size, overlap, last)
+
+
+def separator_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+                     separators: Sequence[str] = SEPARATORS) -> Column:
+    """Separator-aware chunks of whole texts, blank edges trimmed and blank chunks left out; no text, no chunks.
+    The levels of separators are unrolled into nested folds of built-in functions."""
+    trimmed = F.transform(_cut(text, separators, size, overlap), lambda c: F.btrim(c, F.lit(BLANKS)))
+    return F.coalesce(F.filter(trimmed, lambda c: c != ""), F.array().cast("array<string>"))
 
 
 def chunk(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,

@@ -4,21 +4,22 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortweave.functions.text import ordered_list
+from cohortweave.sources.store import cut_lineage
 
 # The functions below travel to the executors, which need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOP_K, THRESHOLD = 3, 0.5
-QUESTION_BLOCK = 2048
+#: Questions and vectors of a block, and the vectors of one product.
+QUESTION_BLOCK, VECTOR_BLOCK, STRIP = 4096, 16_384, 1024
 
 # The instruction the hits are placed in.
 PROMPT = """You are an assistant for question-answering tasks.
@@ -44,83 +45,94 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> Da
     return existing.join(latest.select(key), key, "left_anti").select(*columns).unionByName(latest)
 
 
-def _unit_rows(vectors: list) -> np.ndarray:
-    rows = np.asarray(vectors, dtype=np.float64)
+def _unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Unit rows of vectors of one size; a zero vector, or one with a null, gives a row of NaN."""
+    flat = vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    rows = flat.astype(np.float64).reshape(len(vectors), -1)
     with np.errstate(invalid="ignore", divide="ignore"):
         return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _ids(values) -> np.ndarray:
+def _ids(values: pa.ChunkedArray) -> np.ndarray:
     """Numbers stay numbers; texts become fixed-width texts, which sort and compare fast."""
-    ids = np.asarray(values)
+    ids = values.to_numpy()
     return ids.astype(str) if ids.dtype == object else ids
 
 
-def best_of_batch(question_ids: np.ndarray, questions: np.ndarray, ids: np.ndarray,
-                  vectors: np.ndarray, k: int, threshold: float, skip_same_id: bool) -> pd.DataFrame:
-    """The ``k`` best vectors of one batch per question (score, then id), not below
-    ``threshold``. Both inputs have unit rows; a zero vector scores NaN and never passes."""
-    raw = vectors @ questions.T
-    scores = np.where(raw >= threshold, np.round(raw, 6), np.nan)
-    if skip_same_id:
-        scores[ids[:, None] == question_ids[None, :]] = np.nan
-    floor = np.full(scores.shape[1], -2.0)
-    if len(ids) > k:
-        kth = np.partition(np.nan_to_num(scores, nan=-2.0), len(ids) - k, axis=0)[len(ids) - k]
-        floor = np.maximum(floor, kth)
-    vector_at, question_at = np.nonzero(scores >= floor)
-    score = scores[vector_at, question_at]
-    order = np.lexsort((ids[vector_at], -score, question_at))
-    vector_at, question_at, score = vector_at[order], question_at[order], score[order]
-    # place within its question: ties at the k-th score are cut by id, as in the final ranking
-    starts = np.searchsorted(question_at, question_at, side="left")
-    keep = np.arange(len(order)) - starts < k
-    return pd.DataFrame({
-        "query_id": question_ids[question_at[keep]], "vec_id": ids[vector_at[keep]], "score": score[keep]})
+def _cut(question: np.ndarray, place: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int):
+    """The ``k`` best hits of each question: by score, then id."""
+    order = np.lexsort((ids[place], -score, question))
+    question, place, score = question[order], place[order], score[order]
+    keep = np.arange(len(order)) - np.searchsorted(question, question, side="left") < k
+    return question[keep], place[keep], score[keep]
+
+
+def best_of_block(question_ids: np.ndarray, questions: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
+                  k: int, threshold: float, skip_same_id: bool):
+    """(question, vector, score) places of the ``k`` best vectors of a block for each question, not below
+    ``threshold``. Both inputs have unit rows; what scores NaN never passes. The product is taken
+    ``STRIP`` vectors at a time, the best so far merged with the strip's."""
+    best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    for at in range(0, len(ids), STRIP):
+        here = ids[at:at + STRIP]
+        raw = vectors[at:at + STRIP] @ questions.T
+        scores = np.where(raw >= threshold, np.round(raw, 6), np.nan)
+        if skip_same_id:
+            scores[here[:, None] == question_ids[None, :]] = np.nan
+        floor = np.full(scores.shape[1], -2.0)
+        if len(here) > k:  # only scores that reach the strip's k-th can be among the best
+            floor = np.maximum(floor, np.partition(np.nan_to_num(scores, nan=-2.0), len(here) - k, axis=0)[len(here) - k])
+        vector, question = np.nonzero(scores >= floor)
+        found = question, vector + at, scores[vector, question]
+        best = _cut(*(np.concatenate(pair) for pair in zip(best, found)), ids, k)
+    return best
+
+
+def _search(k: int, threshold: float, skip_same_id: bool):
+    """All pairs of a block of questions and a block of vectors, as one product."""
+    def run(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        kinds = [asked.schema.field("query_id").type, stored.schema.field("vec_id").type, pa.float64()]
+        schema = pa.schema(list(zip(("query_id", "vec_id", "score"), kinds)))
+        if k < 1 or not asked.num_rows or not stored.num_rows:
+            return schema.empty_table()
+        question, vector, score = best_of_block(
+            _ids(asked.column("query_id")), _unit_rows(asked.column("embedding")),
+            _ids(stored.column("vec_id")), _unit_rows(stored.column("embedding")), k, threshold, skip_same_id)
+        return pa.Table.from_arrays([asked.column("query_id").take(pa.array(question)),
+                                     stored.column("vec_id").take(pa.array(vector)), pa.array(score)], schema=schema)
+
+    return run
 
 
 def topk(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, threshold: float = THRESHOLD,
          skip_same_id: bool = False) -> DataFrame:
     """Exact thresholded cosine top-k: (query_id, vec_id, score, rank).
 
-    ``queries(query_id, embedding)`` are questions, few next to ``vectors(vec_id,
-    embedding)``; ids are numbers or texts. They are shipped to the tasks in blocks of bounded size, however many
-    there are; each block is one pass of matrix products over the vectors, which are
-    neither shuffled nor paired row by row. A task returns at most ``k`` rows per question
-    and Arrow batch, and the rank filter cuts those to ``k`` per task before the shuffle.
-    Scores meet the threshold as they are and are ranked rounded to six places. Rows without a vector are left
-    out, and so are vectors of another size than the questions', which must be of one size.
+    Any number of questions ``queries(query_id, embedding)`` against all of ``vectors(vec_id, embedding)``; ids are
+    numbers or texts, one row each. Questions are staged once and dealt into blocks of about ``QUESTION_BLOCK``,
+    vectors into blocks of about ``VECTOR_BLOCK``, both by hash; each pair of blocks is one bounded group with
+    one matrix product, which hands on at most ``k`` rows a question; the rank filter cuts those to ``k``
+    per task before its shuffle. Nothing is collected, each input is read once for its rows (and counted once), and vectors
+    move as many times as there are question blocks (once for up to ``QUESTION_BLOCK`` questions).
+
+    Scores meet the threshold as they are and are ranked rounded to six places, ties by id. Rows without a vector or
+    an id are left out; questions meet vectors of their own size only; a vector that is zero or holds a null is no hit.
     """
-    queries = queries.where(F.col("embedding").isNotNull())
-    sizes = [r[0] for r in queries.select(F.size("embedding")).distinct().limit(2).collect()]
-    if len(sizes) > 1:
-        raise ValueError("questions of different sizes")
-    vectors = vectors.where(F.size("embedding") == (sizes[0] if sizes else 0))
-    blocks = max(1, math.ceil(2 * queries.count() / QUESTION_BLOCK)) if k > 0 else 1
-    kind = {name: df.schema[name].dataType.simpleString()
-            for df, name in ((queries, "query_id"), (vectors, "vec_id"))}
-    schema = f"query_id {kind['query_id']}, vec_id {kind['vec_id']}, score double"
-    hits = None
-    for block in range(blocks):
-        here = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block) if blocks > 1 else queries
-        rows = here.select("query_id", "embedding").collect()
-        if not rows:
-            continue
-        shipped = queries.sparkSession.sparkContext.broadcast(
-            (_ids([r.query_id for r in rows]), _unit_rows([r.embedding for r in rows])))
-
-        def search(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            question_ids, questions = shipped.value
-            for batch in batches:
-                if len(batch):
-                    yield best_of_batch(
-                        question_ids, questions, _ids(batch["vec_id"]),
-                        _unit_rows(batch["embedding"].tolist()), k, threshold, skip_same_id)
-
-        part = vectors.select("vec_id", "embedding").mapInPandas(search, schema)
-        hits = part if hits is None else hits.unionByName(part)
-    if hits is None:
-        hits = queries.sparkSession.createDataFrame([], schema)
+    asked = cut_lineage(queries.where("embedding IS NOT NULL AND query_id IS NOT NULL").select("query_id", "embedding"))
+    stored = vectors.where("embedding IS NOT NULL AND vec_id IS NOT NULL").select("vec_id", "embedding")
+    question_blocks = max(1, math.ceil(asked.count() / QUESTION_BLOCK))
+    vector_blocks = max(1, math.ceil(stored.count() / VECTOR_BLOCK))
+    pair = ["size", "question_block", "vector_block"]
+
+    def dealt(df: DataFrame, key: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
+        return df.where(F.size("embedding") > 0).select(
+            key, "embedding", F.size("embedding").alias("size"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other)).groupBy(*pair)
+
+    kind = {c: df.schema[c].dataType.simpleString() for df, c in ((asked, "query_id"), (stored, "vec_id"))}
+    hits = dealt(asked, "query_id", "question_block", question_blocks, "vector_block", vector_blocks).cogroup(
+        dealt(stored, "vec_id", "vector_block", vector_blocks, "question_block", question_blocks)).applyInArrow(
+        _search(k, threshold, skip_same_id), f"query_id {kind['query_id']}, vec_id {kind['vec_id']}, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 

@@ -6,9 +6,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cohortweave.operators import chunking, retrieval
 from tests.helpers import rows
+from tests.splitter import split_text
 
 
 def docs(spark, *texts):
@@ -37,7 +39,7 @@ def test_overlap_must_fit(spark):
 
 
 def split(text, size=20, overlap=5):
-    return list(chunking.split_text(text, size, overlap))
+    return list(split_text(text, size, overlap))
 
 
 def test_paragraphs_come_first():
@@ -59,7 +61,7 @@ def test_one_unbroken_word():
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="ab \n", max_size=400), st.integers(5, 40), st.integers(0, 4))
 def test_chunks_cover_the_text(text, size, overlap):
-    chunks = list(chunking.split_text(text, size, overlap))
+    chunks = list(split_text(text, size, overlap))
     assert all(0 < len(c) <= size for c in chunks)
     at = 0
     for c in chunks:  # each chunk starts no later than the text covered so far, at most `overlap` before
@@ -71,15 +73,38 @@ def test_chunks_cover_the_text(text, size, overlap):
 
 def test_separator_chunks_on_spark(spark):
     text = "word " * 700
-    out = chunking.explode_chunks(chunking.chunk(docs(spark, text, "", None, "short")))
+    out = chunking.explode_chunks(chunking.chunk(docs(spark, text, "", None, "short", " \n\n\u3000\x1f")))
     by_doc = {}
     for r in out.collect():
         by_doc.setdefault(r.doc_id, []).append((r.chunk_no, r.text, r.chunk_id))
     assert set(by_doc) == {0, 3}
-    assert [t for _, t, _ in sorted(by_doc[0])] == [c.strip() for c in chunking.split_text(text) if c.strip()]
+    assert [t for _, t, _ in sorted(by_doc[0])] == [c.strip() for c in split_text(text) if c.strip()]
     assert by_doc[3] == [(0, "short", "3:0")]
 
 
+@pytest.mark.parametrize("size,overlap", [(20, 5), (7, 0), (12, 11), (9, 3)])
+def test_separator_chunks_equal_the_plain_splitter(spark, size, overlap):
+    draw = random.Random(size)
+    texts = [None, "", "\n", "\n\n\n\n", "a" * 50, "é𝄞" * 30, "x" * size, " " * 60, "\n\n" + "y" * (size - 2)]
+    texts += ["".join(draw.choices("ab \n𝄞", weights=draw.choice([(9, 9, 2, 1, 1), (2, 2, 3, 3, 0), (30, 9, 1, 0, 1)]), k=draw.randint(0, 300)))
+              for _ in range(150)]
+    got = docs(spark, *texts).select("doc_id", chunking.separator_chunks(F.col("text"), size, overlap).alias("c")).collect()
+    for r in got:
+        want = [c.strip() for c in split_text(texts[r.doc_id] or "", size, overlap) if c.strip()]
+        assert r.c == want, repr(texts[r.doc_id])
+
+
+def test_separator_chunks_run_no_python(spark, sf_dir):
+    plan = chunking.chunk(docs(spark, "x"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_separator_chunks_of_a_very_long_text(spark):
+    text = "some words\nand lines " * 60_000
+    (row,) = chunking.chunk(docs(spark, text)).collect()
+    assert row.chunks == [c.strip() for c in split_text(text) if c.strip()]
+
+
 def test_corpus_wide_ids(spark):
     packed = chunking.chunk(docs(spark, "abcdefghij", "", "klm"), 4, 1, by_separator=False)
     assert rows(chunking.with_chunk_id(packed), "chunk_id", "doc_id", "text") == [
@@ -131,13 +156,24 @@ def test_topk_is_exact(spark, k, threshold):
     assert rows(got, "query_id", "vec_id", "score", "rank") == brute(queries, stored, k, threshold)
 
 
-def test_topk_in_blocks_of_questions(spark, monkeypatch):
-    stored = [(i, [i + 1, 3]) for i in range(20)]
-    queries = [(i, [1, i]) for i in range(9)]
-    args = vectors(spark, queries, "query_id"), vectors(spark, stored, "vec_id")
-    whole = rows(retrieval.topk(*args, 3, 0.1))
-    monkeypatch.setattr(retrieval, "QUESTION_BLOCK", 6)
-    assert rows(retrieval.topk(*args, 3, 0.1)) == whole == rows(retrieval.topk(*args, 3, 0.1))
+@pytest.mark.parametrize("question_block, vector_block, strip", [(2, 16_384, 1024), (4096, 11, 3), (3, 7, 2)])
+def test_topk_in_blocks(spark, monkeypatch, question_block, vector_block, strip):
+    draw = random.Random(6)
+    stored = [(i, [draw.randint(-2, 2) for _ in range(4)]) for i in range(90)]
+    queries = [(i, [draw.randint(-2, 2) or 1 for _ in range(4)]) for i in range(13)]
+    for name, n in (("QUESTION_BLOCK", question_block), ("VECTOR_BLOCK", vector_block), ("STRIP", strip)):
+        monkeypatch.setattr(retrieval, name, n)
+    got = retrieval.topk(vectors(spark, queries, "query_id").repartition(3), vectors(spark, stored, "vec_id").repartition(5), 3, 0.4)
+    assert rows(got, "query_id", "vec_id", "score", "rank") == brute(queries, stored, 3, 0.4)
+
+
+def test_topk_of_questions_of_several_sizes(spark):
+    stored = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0, 0.0]), ("c", [0.0, 0.0]), (None, [1.0, 0.0]), ("d", [1.0, None]), ("e", [])],
+                                   "vec_id string, embedding array<double>")
+    asked = spark.createDataFrame([(1, [2.0, 0.0]), (2, [3.0, 0.0, 0.0]), (3, []), (None, [1.0, 0.0]), (4, [1.0])],
+                                  "query_id long, embedding array<double>")
+    assert rows(retrieval.topk(asked, stored), "query_id", "vec_id", "score") == [(1, "a", 1.0), (2, "b", 1.0)]
+    assert retrieval.topk(asked, stored, 0).count() == 0
 
 
 def test_topk_without_questions_or_hits(spark):
@@ -170,12 +206,13 @@ def test_task_functions_need_no_installed_package(tmp_path):
 
     from pyspark import cloudpickle
 
-    path = tmp_path / "split.pkl"
-    path.write_bytes(cloudpickle.dumps(chunking.split_text))
-    load = "import pickle, sys; print(list(pickle.load(open(sys.argv[1], 'rb'))('ab cd', 3, 1)))"
+    path = tmp_path / "search.pkl"
+    path.write_bytes(cloudpickle.dumps(retrieval.best_of_block))
+    load = ("import pickle, sys, numpy as np; f = pickle.load(open(sys.argv[1], 'rb')); "
+            "print(*f(np.array([1]), np.eye(2)[:1], np.array([5, 6]), np.eye(2), 1, 0.5, False))")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", load, str(path)], cwd="/", env=env, capture_output=True, text=True)
-    assert done.stdout.strip() == str(list(chunking.split_text("ab cd", 3, 1)))
+    assert done.stdout.strip() == "[0] [0] [1.]"
 
 
 def test_upsert_keeps_ids_whose_order_is_null(spark):
