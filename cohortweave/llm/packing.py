@@ -12,6 +12,7 @@ Ranks come from counts of (length, bucket), so a common length is never ordered
 from __future__ import annotations
 
 import heapq
+import json
 import math
 import re
 import sys
@@ -44,8 +45,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: A boundary that the vocabulary always has: nothing joins a letter and a sign after it.
-LETTER_SIGN = r"(\pL)([.,;:!?#$%*&])"
+#: A boundary that the vocabulary always has: nothing joins a letter and a sign after it. Only letters that stay one letter
+#: when normalised: of others (a dotted capital I, for one) a mark may be left that does join the sign.
+LETTER_SIGN = "([A-Za-zÀ-ÖØ-öø-įı-ſА-яЁё])([.,;:!?#$%*&])"
+#: The normaliser and splitter that cutting into chunks rests on; with others whole texts are encoded. Fixed values.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: Letters whose lower case is one letter and which no normal form changes; such words are encoded many at a time.
 PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 WORDS_AT_ONCE = 1000
@@ -54,8 +60,8 @@ CODE_BYTES = 8_000_000
 
 
 class WordIds(dict):
-    """Ids (little-endian 32-bit) by chunk. The vocabulary drops white space and joins nothing across it,
-    nor across a letter and a following sign, so chunks are encoded once each and remembered."""
+    """Ids (little-endian 32-bit) by chunk. A vocabulary with ``NORMALIZER`` and ``SPLITTER`` drops white space and joins nothing
+    across it, nor across a letter and a following sign, so chunks are encoded once each and remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -65,6 +71,10 @@ class WordIds(dict):
         vocabulary_ = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary_.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary_.items() if token.endswith("</w>")]] = True
+        made = json.loads(self.tokenizer.to_str())
+        steps = (made["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        self.in_chunks = (made["normalizer"] == NORMALIZER and steps[0].get("pattern") == {"Regex": SPLITTER}
+                          and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True)
 
     def encode(self, chunks: list[str]) -> list[np.ndarray]:
         coded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
@@ -90,6 +100,9 @@ class WordIds(dict):
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts`` (large strings without nulls) one after another, and where each text's begin and end."""
+        if not self.in_chunks:
+            coded = self.encode(texts.to_pylist())
+            return np.concatenate([np.empty(0, "<u4"), *coded]), np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int64)
         if len(self) > CACHE_WORDS:
             self.clear()
         parted = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), LETTER_SIGN, r"\1 \2")
@@ -118,8 +131,8 @@ def word_ids(path: str) -> WordIds:
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-                    ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("row", pa.int64())])
-PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row long"
+                    ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
+PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def cut(path: str, capacity: int = CAPACITY):
@@ -131,15 +144,15 @@ def cut(path: str, capacity: int = CAPACITY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         known = word_ids(path)
         for batch in batches:
-            texts = pc.fill_null(batch.column(2).cast(pa.large_string()), "")
+            texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
             for lo, hi in spans(pc.binary_length(texts).to_numpy(), CODE_BYTES):
                 ids, bounds = known.ids(texts.slice(lo, hi - lo))
                 rows = []
-                for k, row in enumerate(zip(*(batch.column(c).slice(lo, hi - lo).to_pylist() for c in (0, 1)))):
+                for k, doc_id in enumerate(batch.column(0).slice(lo, hi - lo).to_pylist()):
                     own = np.append(ids[bounds[k]:bounds[k + 1]], np.array([END_ID], "<u4"))
                     for a in range(0, len(own), capacity):
                         piece = own[a:a + capacity]
-                        rows.append((row[0], a, len(piece), zlib.crc32(piece.data), len(own), row[1]))
+                        rows.append((doc_id, a, len(piece), zlib.crc32(piece.data), len(own)))
                 yield record_batch(PIECES, zip(*rows))
 
     return run
@@ -219,15 +232,15 @@ def place(shared, stride: int):
 def ranked(pieces: DataFrame, n_pieces: int) -> DataFrame:
     """The rank of each piece among those of its length, from 0 without gaps.
 
-    Each length is dealt into buckets by a hash of the row, counted, and offset by the counts
-    before; only a bucket is ordered in one task. Alike rows of one bucket are interchangeable.
+    Each length is dealt into buckets by a hash of the piece's number (its place in the staged table, so alike rows
+    are dealt out, too), counted, and offset by the counts before; only a bucket is ordered in one task.
     """
     buckets = max(1, math.ceil(n_pieces / BUCKET_ROWS)) * 8
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "row", "start"), F.lit(buckets)))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("number"), F.lit(buckets)))
     counts = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
-    inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "row", "ids_crc32")
+    inside = Window.partitionBy("length", "bucket").orderBy("number")
     return (dealt.withColumn("own", F.row_number().over(inside) - 1).join(counts, ["length", "bucket"])
             .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("own") + F.col("skip")).alias("rank")))
 
@@ -236,13 +249,13 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     """Pieces of the tokenized ``docs`` (doc_id, text) with their sequence and offset.
 
     Null and empty texts are one piece, the end id alone. Rows that share a doc_id, also with the same
-    text, are packed each for itself. Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id
-    (from 0 without gaps), offset.
+    text, are packed each for itself; no rows give no rows; other columns are not used. ``path`` is any vocabulary of
+    ``tokenizers``. Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id (from 0 without gaps), offset.
     """
     spark = docs.sparkSession
-    pieces = staged(docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("row"),
-                                F.col("text").cast("string"))
-                    .mapInArrow(cut(path or vocabulary(), capacity), PIECES_DDL))
+    pieces = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+                    .mapInArrow(cut(path or vocabulary(), capacity), PIECES_DDL)
+                    .withColumn("number", F.monotonically_increasing_id()))
     histogram = {r["length"]: r["n"] for r in
                  pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     n_pieces = sum(histogram.values())

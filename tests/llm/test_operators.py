@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -53,6 +54,41 @@ def test_substring_dedup_tells_rows_without_id_apart(spark):
     assert brute.order(map(tuple, got)) == brute.order(brute.repeats(rows))
 
 
+def test_packing_ids_of_any_unicode():
+    """Letters that change when normalised, next to signs: chunks give the ids of the whole text."""
+    from tokenizers import Tokenizer
+
+    whole, known = Tokenizer.from_file(packing.vocabulary()), packing.WordIds(packing.vocabulary())
+    assert known.in_chunks
+    draw = random.Random(2)
+    odd = ["İ", "ı", "ŉ", "ſ", "\u0958", "\ufb2b", "\u0307", "\u0301", "ß", "Σ", "ς", "ǅ", "ﬁ", "\u1e9e", "é", "Й", "ё", "𝄞", "𐐀", "\u00a0", "\t", "\x85",
+           "'s", "'", "5", "½", "<|endoftext|>", "\u0f73", "\u2126", "\u212a", "\u212b"]
+    alphabet = [*odd * 3, *"aAzZ .,;:!?#$%*&-\n"]
+    texts = ["İ.", "Ali İ, b", "ÜNİVERSİTESİ.", "", "\u0958.", "a\u0301."]
+    texts += ["".join(draw.choices(alphabet, k=draw.randint(1, 12))) for _ in range(8000)]
+    texts += ["".join(chr(c) + draw.choice(".,;:!?#$%*&") for c in range(a, min(a + 200, 0x110000)) if not 0xD800 <= c < 0xE000)
+              for a in [*range(0x80, 0x3000, 200), *range(0xA000, 0xB000, 200), *range(0xF900, 0x11000, 200), 0x1E900]]
+    ids, bounds = known.ids(pa.array(texts, pa.large_string()))
+    for k, text in enumerate(texts):
+        assert ids[bounds[k]:bounds[k + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_packing_with_another_vocabulary(spark):
+    """A vocabulary that keeps case and spaces is used on whole texts; many alike rows, no rows, clashing columns."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    rows = [(1, "Hello World, hello  world.\n\nİ."), (2, None)] + [(None, None)] * 700
+    df = frame(spark, rows).withColumn("number", F.lit("n")).withColumn("bucket", F.lit(1)).repartition(3)
+    got = packing.pack(df, path).collect()
+    ids = np.array(whole.encode(rows[0][1], add_special_tokens=False).ids + [2], "<u4")
+    assert [r.ids_crc32 for r in got if r.doc_id == 1] == [zlib.crc32(ids.tobytes())]
+    assert len(got) == 702 and len({(r.sequence_id, r.offset) for r in got}) == 702
+    assert packing.pack(frame(spark, [])).count() == 0
+
+
 def test_packing_is_an_exact_round_trip(spark, odd):
     from tokenizers import Tokenizer
 
