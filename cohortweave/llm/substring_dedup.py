@@ -35,7 +35,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm.common import binary, mix, record_batch, slices, staged_by, table
+from cohortweave.llm.common import binary, mix, record_batch, slices, staged, staged_by, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -204,6 +204,8 @@ class Combiner:
             return
         anchor, content, doc, tag, ref = (np.concatenate(c) for c in zip(*self.parts))
         self.parts, self.rows = [], 0
+        order, new = first_of_equals(anchor, content, doc, tag, ref, np.arange(len(doc)))  # rows alike in id and text count once
+        anchor, content, doc, tag, ref = (x[order[new]] for x in (anchor, content, doc, tag, ref))
         order, new = first_of_equals(anchor, content, doc)
         smallest = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
         known = order[doc[order] > smallest]
@@ -411,18 +413,21 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     words stay whole. One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256
     (of the kept words, joined by one space) and, if asked for, kept_text.
     """
-    keyed = docs.select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-        F.col("text").cast("string").alias("text"),
-    ).withColumn("tag", F.xxhash64("text"))
-    keyed = keyed.withColumn("doc_id", F.col("doc_id").cast("long"))
+    # Rows are told apart by id, and by a hash of the text only where an id is repeated: the hash would double what a
+    # stretch weighs, as nothing compresses it.
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    repeated = staged(docs.select(doc.alias("doc")).groupBy("doc").agg(F.count("*").alias("n")).filter("n > 1")
+                      .select("doc", F.lit(True).alias("repeated")))
+    keyed = (docs.select(F.col("doc_id").cast("long"), doc.alias("doc"), F.col("text").cast("string").alias("text"))
+             .join(repeated, "doc", "left")
+             .select("doc_id", "doc", F.when(F.col("repeated"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")).alias("tag"), "text"))
     found = (keyed.filter(F.col("text").isNotNull()).select("doc", "tag", "text")
              .mapInArrow(find_stretches, ddl(STRETCHES)))
     verdicts = (found.repartition("anchor").sortWithinPartitions("anchor", "stretch", "doc")
                 .mapInArrow(judge_stretches, ddl(VERDICTS)))
     per_text = (verdicts.groupBy("doc", "tag")
-                .agg(F.collect_list(F.when(~F.col("verify"), F.col("ref"))).alias("repeats"),
-                     F.collect_list(F.when(F.col("verify"), F.col("ref"))).alias("verify")))
+                .agg(F.collect_set(F.when(~F.col("verify"), F.col("ref"))).alias("repeats"),
+                     F.collect_set(F.when(F.col("verify"), F.col("ref"))).alias("verify")))
     opened = staged_by(keyed.join(per_text, ["doc", "tag"], "left")
                        .select("doc_id", "doc", "tag", "text", "repeats", "verify")
                        .mapInArrow(open_documents(keep_text), ddl(OPENED)), "doc", "tag")

@@ -54,6 +54,24 @@ def test_substring_dedup_tells_rows_without_id_apart(spark):
     assert brute.order(map(tuple, got)) == brute.order(brute.repeats(rows))
 
 
+def test_substring_dedup_of_many_alike_rows(spark):
+    """A third of all rows alike in a null id and a text: each is judged alike, at a cost that follows their number."""
+    words = " ".join(f"w{i}" for i in range(61))
+    rows = [(None, words)] * 5000 + [(i, f"{i} {words}") for i in range(3)] + [(None, None)] * 2000 + [(7, f"{words} x {words}")] * 50
+    got = substring_dedup.remove_repeats(frame(spark, rows).repartition(8), keep_text=False)
+    assert brute.order(map(tuple, got.distinct().collect())) == brute.order(set(brute.repeats(rows)))
+    assert got.count() == len(rows)
+
+
+def test_substring_dedup_of_a_very_long_text(spark):
+    draw = random.Random(8)
+    long = [f"w{draw.randint(0, 3000)}" for _ in range(60_000)]
+    long[30_000:30_050] = long[100:150]
+    rows = [(2, " ".join(long)), (1, " ".join(long[500:530])), (3, "")]
+    got = substring_dedup.remove_repeats(frame(spark, rows), keep_text=False).collect()
+    assert brute.order(map(tuple, got)) == brute.order(brute.repeats(rows))
+
+
 def test_packing_ids_of_any_unicode():
     """Letters that change when normalised, next to signs: chunks give the ids of the whole text."""
     from tokenizers import Tokenizer
