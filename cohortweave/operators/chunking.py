@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from cohortweave.operators.sequence import row_block, sequence_within
+from cohortweave.operators.sequence import sequence_within
 
 CHUNK_SIZE, CHUNK_OVERLAP = 1000, 150
 
@@ -121,14 +121,10 @@ def with_chunk_id(packed: DataFrame) -> DataFrame:
     """Chunks numbered ``id1``, ``id2``, ... over the whole corpus, in the order of
     numeric document ids, else in a fixed order by hash.
 
-    Documents are counted, not chunks: the texts move once, and no task holds more than
-    one block of document ids.
+    Documents are numbered, not chunks; they are cut once (into a staged table), and no task holds more than its part.
     """
-    numeric = isinstance(packed.schema["doc_id"].dataType, NumericType)
-    place, bits = (F.col("doc_id"), 16) if numeric else (F.xxhash64("doc_id"), 48)
-    numbered = sequence_within(
-        packed.withColumn("place", place), keys=[], buckets=[row_block(F.col("place"), bits)],
-        order=["place", "doc_id"], before={"chunks_before": F.size("chunks")})
+    place = F.col("doc_id") if isinstance(packed.schema["doc_id"].dataType, NumericType) else F.xxhash64("doc_id")
+    numbered = sequence_within(packed, keys=[], order=[place, "doc_id"], before={"chunks_before": F.size("chunks")})
     return numbered.select(
         "doc_id", "chunks_before", F.posexplode("chunks").alias("chunk_no", "text")).select(
         F.concat(F.lit("id"), F.col("chunks_before") + F.col("chunk_no") + 1).alias("chunk_id"),

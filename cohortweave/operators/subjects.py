@@ -4,20 +4,23 @@ A sighting carries some of ``subjid``, ``record_id`` and ``scrno``. In order of
 appearance, a sighting belongs to the registered participant holding its subjid, else
 its record_id, else its scrno, and registers a new participant (with exactly its own
 identifiers) when none of them is held. Done one row at a time that is a loop; here it
-is a few set-based rounds: in each, every sighting that comes first for all of its
-identifiers registers, and the later sightings sharing one of them are settled.
+is a few set-based rounds. In each, a sighting that comes first for all of its identifiers
+registers; one that has a single other sighting before it registers exactly if that one does
+not, and such chains are followed by pointer jumping, in steps that double; then what shares an identifier
+with a new participant is settled.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.functions.text import blank_to_null
-from cohortweave.operators.sequence import row_block, sequence_within
-from cohortweave.sources.store import cut_lineage
+from cohortweave.operators.sequence import sequence_within
+from cohortweave.sources.store import cut_lineage, shared_folder
 
 IDS = ["subjid", "record_id", "scrno"]  # order of precedence
 SIGHTING = ["source_study", "seen"]
@@ -47,26 +50,76 @@ def _held_ids(df: DataFrame, *columns: str) -> DataFrame:
     return df.select("source_study", *columns, F.inline(kinds)).where(F.col("id").isNotNull())
 
 
-def _registrations(sightings: DataFrame, claimed: DataFrame | None) -> DataFrame:
-    """Sightings that register a participant, by rounds until none is left open."""
-    id_key = ["source_study", "kind", "id"]
+ID_KEY = ["source_study", "kind", "id"]
+
+
+def _unsettled(open_: DataFrame, claims: DataFrame) -> DataFrame:
+    """Sightings none of whose identifiers is among ``claims``."""
+    settled = _held_ids(open_, "seen").join(claims, ID_KEY, "left_semi").select(*SIGHTING)
+    return open_.join(settled, SIGHTING, "left_anti")
+
+
+def _waiting(open_: DataFrame) -> DataFrame:
+    """(study, seen, ``waits``): null for a sighting that comes first for all of its identifiers; the one open sighting before
+    it where there is just one; sightings with several before them are left out. Only the two
+    earliest sightings of an identifier are needed, so one that very many carry is two minima, combined before they are shuffled."""
+    held = _held_ids(open_, "seen")
+    first = held.groupBy(*ID_KEY).agg(F.min("seen").alias("first"))
+    placed = held.join(first, ID_KEY)
+    second = placed.where("seen > first").groupBy(*ID_KEY).agg(F.min("seen").alias("second"))
+    behind = F.when(F.col("seen") > F.col("first"), F.col("first"))
+    return placed.join(second, ID_KEY, "left").groupBy(*SIGHTING).agg(
+        F.min(behind).alias("waits"), F.max(behind).alias("also"),
+        F.bool_or(F.col("seen") > F.col("second")).alias("many"),
+    ).where("NOT coalesce(many, false) AND waits <=> also").select(*SIGHTING, "waits")
 
-    def unsettled(open_, claims):
-        settled = _held_ids(open_, "seen").join(claims, id_key, "left_semi").select(*SIGHTING)
-        return open_.join(settled, SIGHTING, "left_anti")
 
-    open_ = sightings if claimed is None else cut_lineage(unsettled(sightings, claimed))
-    registered = None
+def _settled_chains(waiting: DataFrame) -> DataFrame:
+    """The sightings of ``waiting`` that register, as far as their chains begin with one that comes first.
+
+    ``turns`` counts the steps from a sighting to the one it points at; each round points twice as far.
+    """
+    chain = waiting.where("waits IS NOT NULL").select(*SIGHTING, "waits", F.lit(1).cast("bigint").alias("turns"))
+    first = waiting.where("waits IS NULL").select(*SIGHTING)
+    while True:
+        onward = chain.select("source_study", F.col("seen").alias("waits"), F.col("waits").alias("beyond"), F.col("turns").alias("more"))
+        step = chain.join(onward, ["source_study", "waits"], "left")
+        moved = cut_lineage(step.select(
+            *SIGHTING, F.coalesce("beyond", "waits").alias("waits"), (F.col("turns") + F.coalesce("more", F.lit(0))).alias("turns"),
+            F.col("beyond").isNotNull().alias("moved")))
+        chain = moved.drop("moved")
+        if moved.where("moved").isEmpty():
+            break
+    heads = first.withColumnRenamed("seen", "waits")
+    return first.unionByName(chain.where("turns % 2 = 0").join(heads, ["source_study", "waits"], "left_semi").select(*SIGHTING))
+
+
+def _registrations(sightings: DataFrame, claimed: DataFrame | None) -> DataFrame:
+    """Sightings that register a participant, by rounds until none is left open; all rounds in one staged folder."""
+    spark = sightings.sparkSession
+    folder = f"{shared_folder(spark)}/registered-{uuid.uuid4().hex}"
+    sightings.limit(0).write.parquet(f"{folder}/round=0")
+    open_ = sightings if claimed is None else cut_lineage(_unsettled(sightings, claimed))
+    round_ = 0
     while not open_.isEmpty():
-        held = _held_ids(open_, "seen")
-        earliest = held.groupBy(*id_key).agg(F.min("seen").alias("first_seen"))
-        leading = held.join(earliest, id_key).groupBy(*SIGHTING).agg(
-            F.bool_and(F.col("seen") == F.col("first_seen")).alias("first"))
-        new = cut_lineage(open_.join(
-            leading.where(F.col("first")).select(*SIGHTING), SIGHTING, "left_semi"))
-        registered = new if registered is None else registered.unionByName(new)
-        open_ = cut_lineage(unsettled(open_, _held_ids(new).select(*id_key)))
-    return sightings.limit(0) if registered is None else registered
+        round_ += 1
+        path = f"{folder}/round={round_}"
+        open_.join(_settled_chains(cut_lineage(_waiting(open_))), SIGHTING, "left_semi").write.parquet(path)
+        new = spark.read.schema(sightings.schema).parquet(path)
+        open_ = cut_lineage(_unsettled(open_, _held_ids(new).select(*ID_KEY)))
+    return spark.read.schema(sightings.schema).parquet(folder).select(*sightings.columns)
+
+
+def _nameless() -> Column:
+    nameless = F.lit(True)
+    for c in IDS:
+        nameless = nameless & F.col(c).isNull()
+    return nameless
+
+
+def rejected_sightings(rows: DataFrame, seen: str) -> DataFrame:
+    """Sightings without any identifier, and how many rows each stands for; participants need not be resolved for that."""
+    return distinct_sightings(rows, seen).where(_nameless())
 
 
 def resolve_subjects(rows: DataFrame, seen: str, existing: DataFrame | None = None) -> Resolution:
@@ -76,10 +129,7 @@ def resolve_subjects(rows: DataFrame, seen: str, existing: DataFrame | None = No
     serial numbers in order of registration, following those of ``existing``.
     """
     sightings = cut_lineage(distinct_sightings(rows, seen))
-    nameless = F.lit(True)
-    for c in IDS:
-        nameless = nameless & F.col(c).isNull()
-    rejected, named = sightings.where(nameless), sightings.where(~nameless)
+    rejected, named = sightings.where(_nameless()), sightings.where(~_nameless())
 
     claimed, last_key = None, 0
     if existing is not None:
@@ -87,7 +137,7 @@ def resolve_subjects(rows: DataFrame, seen: str, existing: DataFrame | None = No
         last_key = existing.agg(F.max("subject_key")).first()[0] or 0
     registered = cut_lineage(sequence_within(
         _registrations(named, claimed), keys=[],
-        buckets=[F.col("source_study"), row_block(F.col("seen"))], order=["seen"],
+        order=["source_study", "seen"],
         before={"earlier": F.lit(1)},
     ).withColumn("subject_key", F.col("earlier") + 1 + last_key).drop("earlier"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.functions.text import blank_to_null, has_text
 from cohortweave.operators.dictionary import Entry, entries_frame
-from cohortweave.operators.sequence import nulls_last, row_block, sequence_within
+from cohortweave.operators.sequence import nulls_last, sequence_within
 from cohortweave.schema import STUDY_A, STUDY_B
 
 ROW = "source_row_number"
@@ -91,8 +91,7 @@ def ie_sequence(columns: Sequence[str], mapping: Iterable[Entry], study: str) ->
 def number_rows(packed: DataFrame) -> DataFrame:
     """``cells_before``: cells of the domain ahead of this row (forms in dictionary order)."""
     return sequence_within(
-        packed, keys=["domain"], buckets=[F.col("form_order"), row_block(F.col(ROW))], order=[ROW],
-        before={"cells_before": F.size("cells")})
+        packed, keys=["domain"], order=["form_order", ROW], before={"cells_before": F.size("cells")})
 
 
 def visit_order(visit: Column) -> list[Column]:
@@ -107,9 +106,8 @@ def assign_seqnum(packed: DataFrame) -> DataFrame:
     subject identifier is one (possibly very large) group like any other.
     """
     return sequence_within(
-        packed, keys=["domain", "subjid"],
-        buckets=[*visit_order(F.col("visitnum")), F.col("source_form"), row_block(F.col(ROW))],
-        order=[ROW], before={"seqnum": F.lit(1)},
+        packed, keys=["domain", "subjid"], order=[*visit_order(F.col("visitnum")), "source_form", ROW],
+        before={"seqnum": F.lit(1)},
     ).withColumn("seqnum", (F.col("seqnum") + 1).cast("int"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortweave.functions.numbers import plain_number, rounded
 from cohortweave.functions.text import substring_from
 from cohortweave.operators.pivot import domain, eav_pivot
-from cohortweave.operators.sequence import row_block, sequence_within
+from cohortweave.operators.sequence import sequence_within
 from cohortweave.schema import STUDIES, STUDY_A, STUDY_B, STUDY_C
 
 # Name patterns in order of precedence, and the test each one shows as.
@@ -19,7 +19,6 @@ TEST_PATTERNS = (
     ("%WEIGHT%", "Weight"),
 )
 
-FACT_BLOCK_BITS = 22
 
 
 def test_display(name: Column) -> Column:
@@ -37,7 +36,6 @@ def positional_measurements(facts: DataFrame) -> DataFrame:
     numbered = sequence_within(
         kinds.select("subject_key", "visitnum", "standard_var", "value", "fact_id"),
         keys=["subject_key", "visitnum", "standard_var"],
-        buckets=[row_block(F.col("fact_id"), FACT_BLOCK_BITS)],
         order=["fact_id"],
         before={"position": F.lit(1)})
     return eav_pivot(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortweave.operators import checks
 from cohortweave.operators.dictionary import empty_domains, entries, study_dictionary
 from cohortweave.operators.load import build_linkage
-from cohortweave.operators.subjects import resolve_subjects
+from cohortweave.operators.subjects import rejected_sightings, resolve_subjects
 from cohortweave.operators.unpivot import ROW
 from cohortweave.plans import etl
 from cohortweave.schema import STUDY_A, STUDY_B, STUDY_C, domain_registry
@@ -58,13 +58,20 @@ def _resolved(spark: SparkSession, sf: str):
     return resolve_subjects(spark_form(spark, sf, "sightings"), "seen")
 
 
+def _chained(spark: SparkSession, sf: str):
+    return resolve_subjects(spark_form(spark, sf, "chained"), "seen")
+
+
+def _rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return rejected_sightings(spark_form(spark, sf, "sightings"), "seen")
+
+
 def rejected(spark: SparkSession, sf: str) -> DataFrame:
-    return _resolved(spark, sf).rejected.select(
-        "source_study", "seen", "studyid", F.lit(True).alias("rejected"))
+    return _rejected(spark, sf).select("source_study", "seen", "studyid", F.lit(True).alias("rejected"))
 
 
 def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _resolved(spark, sf).rejected.select("source_study", "n_rows")
+    return _rejected(spark, sf).select("source_study", "n_rows")
 
 
 def load_facts(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,6 +104,8 @@ QUERIES = {
     "e_empty_domains": no_rows,
     "l_resolve_subjects": lambda spark, sf: _resolved(spark, sf).subjects,
     "l_assign_subjects": lambda spark, sf: _resolved(spark, sf).assigned,
+    "l_resolve_chained": lambda spark, sf: _chained(spark, sf).subjects,
+    "l_assign_chained": lambda spark, sf: _chained(spark, sf).assigned,
     "l_rejected_sightings": rejected,
     "l_rejected_rows": rejected_rows,
     "l_load_facts": load_facts,

@@ -254,6 +254,8 @@ SELECT d.domain FROM (VALUES ('AE'), ('IE'), ('LB')) d(domain)
 WHERE d.domain NOT IN (SELECT domain FROM ({UNPIVOT_A}))"""),
     "l_resolve_subjects": (("sightings",), (), RESOLVED_SUBJECTS),
     "l_assign_subjects": (("sightings",), (), ASSIGNED),
+    "l_resolve_chained": (("chained",), (), RESOLVED_SUBJECTS.replace("sightings", "chained")),
+    "l_assign_chained": (("chained",), (), ASSIGNED.replace("sightings", "chained")),
     "l_rejected_sightings": (("sightings",), (), REJECTED),
     "l_rejected_rows": (("sightings",), (), REJECTED_ROWS),
     "l_load_facts": (("a_ae", "a_sae", "a_ie", "b_mh", "b_ie", "b_dm"), (), LOADED_FACTS),

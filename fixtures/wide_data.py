@@ -129,6 +129,14 @@ def form_sql(q: Dialect, form: str) -> str:
   CASE WHEN {k} % 35 = 0 THEN '' WHEN {k} % 5 IN (1, 3, 4) THEN 'X' || CAST({pair} AS STRING) END AS scrno,
   CASE WHEN {k} % 50 <> 27 AND {k} % 5 IN (2, 4) THEN 'R' || CAST({s} AS STRING) END AS record_id
 FROM {{orders}}"""
+    if form == "chained":
+        # families of 64 sightings, each sharing an identifier with the one before only; and one identifier that a whole study shares
+        c = "c_custkey"
+        f, none = q.idiv(c, 64), "CAST(NULL AS STRING)"
+        return f"""SELECT {c} AS seen, {f} AS family, 'STUDY_A' AS source_study, 'A' AS studyid,
+  'C' || CAST({f} AS STRING) || '-' || CAST({q.idiv(c, 2)} AS STRING) AS subjid, {none} AS scrno,
+  'D' || CAST({f} AS STRING) || '-' || CAST({q.idiv(f"({c} + 1)", 2)} AS STRING) AS record_id FROM {{customer}}
+UNION ALL SELECT {c}, -1, 'STUDY_B', 'B', 'H' || CAST({c} AS STRING), 'HOT', {none} FROM {{customer}} WHERE {c} % 2 = 0"""
     raise KeyError(form)
 
 

@@ -1,27 +1,25 @@
-"""Bucketed numbering equals the plain window, whatever the buckets."""
+"""Numbering in parts equals the plain window, wherever the parts are cut."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from cohortweave.operators.sequence import nulls_last, row_block, sequence_within
+from cohortweave.operators import sequence
+from cohortweave.operators.sequence import nulls_last, sequence_within
 
 
-def _frame(spark, seed, n=300):
+def _frame(spark, seed, n=300, spread=1):
     rng = random.Random(seed)
-    data = [(rng.choice([None, "a", "b", "c"]), rng.choice([None, 1, 2, 3]), i,
+    ids = [i * spread - (1 << 62) for i in rng.sample(range(n * 3), n)]
+    data = [(rng.choice([None, "a", "a", "a", f"k{i}"]), rng.choice([None, 1, 2, 3]), ids[i],
              rng.choice([None, None, None, f"v{i}"]), rng.randint(0, 4)) for i in range(n)]
     rng.shuffle(data)
     return data, spark.createDataFrame(data, "k string, visit int, id long, v string, w int")
 
 
-@pytest.mark.parametrize("seed,bits", [(1, 2), (2, 4), (3, 20)])
-def test_matches_sequential_walk(spark, seed, bits):
-    data, df = _frame(spark, seed)
-    got = sequence_within(
-        df, keys=["k"], buckets=[*nulls_last(F.col("visit")), row_block(F.col("id"), bits)], order=["id"],
-        before={"place": F.lit(1), "total": F.col("w")}, fills={"v": F.col("v")}).collect()
+def walk(data):
     want = {}
     for key in {r[0] for r in data}:
         group = sorted((r for r in data if r[0] == key), key=lambda r: (r[1] is None, r[1] or 0, r[2]))
@@ -35,24 +33,53 @@ def test_matches_sequential_walk(spark, seed, bits):
             following = v if v is not None else following
             row[3] = row[3] if row[3] is not None else following
         want.update({row[0]: tuple(row[1:]) for row in filled})
-    assert {r.id: (r.place, r.total, r.v) for r in got} == want
+    return want
+
+
+@pytest.mark.parametrize("seed,split_above,parts,spread", [(1, 0, 7, 1), (2, 0, 64, 1 << 51), (3, 1000, 4, 1), (4, 0, 1, 1 << 40)])
+def test_matches_sequential_walk(spark, monkeypatch, seed, split_above, parts, spread):
+    """Sparse 64-bit ids, a null key and a key that hold most rows, groups of one row."""
+    monkeypatch.setattr(sequence, "SAMPLED", 20 if parts < 10 else 4)
+    data, df = _frame(spark, seed, spread=spread)
+    got = sequence_within(
+        df, keys=["k"], order=[*nulls_last(F.col("visit")), "id"], before={"place": F.lit(1), "total": F.col("w")},
+        fills={"v": F.col("v")}, split_above=split_above, parts=parts).collect()
+    assert {r.id: (r.place, r.total, r.v) for r in got} == walk(data) and len(got) == len(data)
 
 
-def test_no_keys_is_one_group(spark):
-    df = spark.createDataFrame([(i,) for i in range(50)], "id long")
-    got = sequence_within(df, keys=[], buckets=[row_block(F.col("id"), 3)], order=["id"],
-                          before={"n": F.lit(1)}).collect()
-    assert all(r.n == r.id for r in got) and len(got) == 50
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_no_keys_is_one_group(spark, kind):
+    """Sparse numbers and texts in the order; as many parts as asked for, of about one size."""
+    df = spark.range(4000).select((F.xxhash64("id") if kind == "long" else F.hex(F.xxhash64("id"))).alias("id"))
+    numbered = sequence_within(df, keys=[], order=["id"], before={"n": F.lit(1)}, split_above=0, parts=8)
+    got = [r.id for r in sorted(numbered.collect(), key=lambda r: r.n)]
+    assert got == sorted(got) and len(got) == 4000
+    assert sorted(r.n for r in numbered.collect()) == list(range(4000))
 
 
 def test_hot_group_is_spread_over_tasks(spark):
-    """One key holding every row still lands in several partitions."""
-    df = spark.range(1 << 14).select(F.lit("one").alias("k"), "id")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        parts = sequence_within(
-            df, keys=["k"], buckets=[row_block(F.col("id"), 9)], order=["id"], before={"n": F.lit(1)}
-        ).groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(parts) >= 4
+    """One key holding most rows lands in parts of about one size; the others are not cut."""
+    df = spark.range(1 << 14).select(F.when(F.col("id") % 10 > 0, "one").otherwise(F.concat(F.lit("k"), "id")).alias("k"), F.xxhash64("id").alias("id"))
+    body = df.select("*", F.col("id").alias("_o0"))
+    large, cuts = sequence._cuts(body, 1 << 14, ["k"], ["_o0"], 16)
+    assert large == [("one",)] and len(cuts) == 15
+    sizes = Counter(r[0] for r in df.select("k", F.col("id").alias("_o0")).withColumn("p", sequence._part(body, ["k"], ["_o0"], large, cuts))
+                    .where("k = 'one'").select("p").collect())
+    assert len(sizes) == 16 and max(sizes.values()) < 3 * min(sizes.values())
+
+
+def test_input_is_evaluated_once(spark, tmp_path):
+    """The plan reads the staged table only, each time; totals read no more than the columns they need."""
+    spark.range(500).selectExpr("id % 3 AS k", "id", "repeat('x', 50) AS wide").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    counted = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    done = sequence_within(df.mapInArrow(count, df.schema), keys=["k"], order=["id"], before={"n": F.lit(1)}, split_above=0, parts=4)
+    assert done.count() == 500 and len(done.collect()) == 500
+    assert counted.value == 500
+    assert str(tmp_path) not in done._jdf.queryExecution().toString()

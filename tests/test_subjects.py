@@ -4,8 +4,10 @@ import random
 
 import pytest
 
+from cohortweave.operators import subjects as subject_rules
 from cohortweave.operators.load import build_linkage
 from cohortweave.operators.subjects import attach_subject_key, resolve_subjects
+from cohortweave.sources import store
 from tests.helpers import rows, subjects
 
 SCHEMA = "source_study string, studyid string, subjid string, record_id string, scrno string, seen long"
@@ -67,6 +69,27 @@ def test_named_cases(spark):
     assert rows(keyed, "seen", "subject_key") == [(0, 1), (1, 1), (2, 3), (4, 2), (5, 2)]
 
 
+def test_long_chain_takes_few_rounds(spark, monkeypatch):
+    """Each sighting shares an identifier with the one before only: 64 links, a logarithm of staged tables."""
+    data = [("STUDY_A", "A", f"s{i // 2}", f"r{(i + 1) // 2}", None, i) for i in range(1, 65)]
+    data += [("STUDY_B", "B", f"h{i}", None, "HOT", i) for i in range(40)]  # one identifier on a third of all rows
+    data += [("STUDY_C", "C", f"s{i % 7}", f"r{i % 5}", f"x{i % 3}", i) for i in range(30)]
+    staged = []
+    monkeypatch.setattr(subject_rules, "cut_lineage", lambda df: staged.append(1) or store.cut_lineage(df))
+    result = resolve_subjects(spark.createDataFrame(data, SCHEMA).repartition(3), "seen")
+    people, assigned = walk(data)
+    assert rows(result.subjects, "subject_key", "source_study", "studyid", "subjid", "record_id", "scrno") == people
+    got = {tuple(r)[:-1]: r.subject_key for r in result.assigned.select("source_study", *subject_rules.IDS, "subject_key").collect()}
+    assert got == assigned and len(staged) < 20
+
+
+def test_rejects_need_no_resolution(spark):
+    data = [("STUDY_A", "A", None, "", None, 3), ("STUDY_A", "A", None, None, "", 1), ("STUDY_A", "A", "s", None, None, 2)]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(subject_rules.rejected_sightings(df, "seen"), "seen", "n_rows") == [(1, 2)]
+    assert rows(resolve_subjects(df, "seen").rejected, "seen", "n_rows") == [(1, 2)]
+
+
 def test_late_registration_does_not_reach_back(spark):
     """A sighting is settled by what was registered before it."""
     data = [("STUDY_A", None, None, None, "X", 0), ("STUDY_A", None, "S", None, "X", 1),
