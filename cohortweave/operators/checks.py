@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortweave.schema import REQUIRED
+
 SUBJECT_KEYS = (("source_study", "subjid"), ("source_study", "scrno"), ("source_study", "record_id"))
-REQUIRED = ("subject_key", "source_study", "standard_var")
 
 
 def check_registry(facts: DataFrame, registry: DataFrame) -> DataFrame:

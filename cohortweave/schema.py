@@ -39,6 +39,9 @@ LINKAGE = T.StructType([
     T.StructField("linkage_type", T.StringType()),
 ])
 
+#: Columns of a fact that must not be null.
+REQUIRED = ("subject_key", "source_study", "standard_var")
+
 #: Fact ids of one study lie between two multiples of this.
 ID_SPAN = 1 << 56
 

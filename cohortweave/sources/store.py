@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from cohortweave.schema import FACTS, ID_SPAN
+from cohortweave.schema import DOMAINS, FACTS, ID_SPAN, LINKAGE, REQUIRED, SHARED_DOMAINS, STUDIES, STUDY_A
 
 PARTITIONS = ["domain", "source_study"]
 BATCH = "batch"
@@ -39,21 +41,56 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_facts(facts: DataFrame, path: str, batch: str = "first") -> None:
-    """Add a batch of facts: one directory per (domain, study, batch), sorted by variable and
+def _batch_folder(path: str, batch: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
+        raise ValueError("a batch is named by letters, digits, '_', '.' and '-'")
+    return f"{path}/{BATCH}={batch}"
+
+
+def write_facts(facts: DataFrame, path: str, batch: str = "first") -> dict[str, int]:
+    """Store a batch of facts: one directory per batch and in it per (domain, study), sorted by variable and
     subject so that row-group statistics skip both "one variable" and "one subject" reads.
 
-    Other batches stay as they are; writing a batch again replaces the directories it has rows
-    for, so a load can be repeated. The rebalance hint lets AQE size the files
+    Other batches stay as they are. A batch is written as a whole: writing it again replaces all of it, also what the
+    new rows have no domain for. The rebalance hint lets AQE size the files
     (``advisoryPartitionSizeInBytes``): a domain or study holding most of the data is split
     over many tasks and files, small ones share a task.
+
+    Returns what was seen of the stored rows on their way (no second scan): their number, and how many break the
+    not-null rules or stand in a domain that is not their study's.
     """
-    out = facts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACTS.fields],
-                       F.lit(batch).alias(BATCH))
-    (out.hint("rebalance", *PARTITIONS)
+    out = facts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACTS.fields])
+    allowed = [(d, s) for s in STUDIES for d in (DOMAINS if s == STUDY_A else SHARED_DOMAINS)]
+    known = F.concat_ws("/", "domain", "source_study").isin(*["/".join(pair) for pair in allowed])
+    rules = {"n_rows": F.count("*"), **{f"null_{c}": F.count_if(F.col(c).isNull()) for c in REQUIRED},
+             "not_in_registry": F.count_if(~known)}
+    seen = Observation(f"batch-{uuid.uuid4().hex}")
+    checked = out.observe(seen, *[rule.alias(name) for name, rule in rules.items()])
+    (checked.hint("rebalance", *PARTITIONS)
         .sortWithinPartitions(*PARTITIONS, "standard_var", "subject_key")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS, BATCH).parquet(path))
+        .write.mode("overwrite").partitionBy(*PARTITIONS).parquet(_batch_folder(path, batch)))
+    try:
+        return seen.get
+    except Py4JJavaError:  # written, but from a plan that Spark knew to have no rows: such a plan observes nothing
+        return dict.fromkeys(rules, 0)
+
+
+def write_linkage(pairs: DataFrame, path: str, batch: str = "first") -> None:
+    """Store a batch of linkage pairs, replacing it if it is there already."""
+    out = pairs.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LINKAGE.fields])
+    out.write.mode("overwrite").parquet(_batch_folder(path, batch))
+
+
+def _read(spark: SparkSession, path: str, kind: StructType, without: str | None) -> DataFrame:
+    stored = spark.read.schema(StructType([*kind.fields, StructField(BATCH, StringType())])).parquet(path)
+    if without is not None:
+        stored = stored.where(F.col(BATCH) != without)
+    return stored.select(*kind.fieldNames())
+
+
+def read_linkage(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """All stored pairs, or those of every batch but ``without``: what a batch, also a repeated one, must not add again."""
+    return _read(spark, path, LINKAGE, without)
 
 
 def after_stored(facts: DataFrame, stored: DataFrame) -> DataFrame:
@@ -76,7 +113,10 @@ def write_domains(rows: DataFrame, path: str) -> None:
 
 def read_facts(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
     """All stored facts, or those of every batch but ``without``."""
-    stored = spark.read.schema(StructType([*FACTS.fields, StructField(BATCH, StringType())])).parquet(path)
-    if without is not None:
-        stored = stored.where(F.col(BATCH) != without)
-    return stored.select(*FACTS.fieldNames())
+    return _read(spark, path, FACTS, without)
+
+
+def read_domains(spark: SparkSession, path: str) -> DataFrame:
+    """The audit checkpoint with its domains and studies, as text."""
+    written = spark.read.parquet(path)
+    return written.select(*[F.col(c).cast("string").alias(c) if c in PARTITIONS else F.col(c) for c in written.columns])

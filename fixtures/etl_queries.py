@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.operators import checks
 from cohortweave.operators.dictionary import empty_domains, entries, study_dictionary
-from cohortweave.operators.load import build_linkage
+from cohortweave.operators.load import (
+    build_linkage, normalise_columns, route_rows, skipped_sheets, usable, with_source_study,
+)
 from cohortweave.operators.subjects import rejected_sightings, resolve_subjects
 from cohortweave.operators.unpivot import ROW
 from cohortweave.plans import etl
-from cohortweave.schema import STUDY_A, STUDY_B, STUDY_C, domain_registry
-from cohortweave.sources.store import cut_lineage
+from cohortweave.schema import FACTS, STUDY_A, STUDY_B, STUDY_C, domain_registry
+from cohortweave.sources.store import (
+    after_stored, cut_lineage, read_domains, read_facts, read_linkage, shared_folder, write_domains, write_facts, write_linkage,
+)
 from fixtures import oracle_etl
 from fixtures.study_data import spark_facts, spark_subjects
 from fixtures.wide_data import spark_dictionary, spark_form
@@ -32,12 +38,8 @@ def unpivot_b(spark: SparkSession, sf: str) -> DataFrame:
                              _forms(spark, sf, MH="b_mh", IE="b_ie", DM="b_dm"))
 
 
-def _unpivot_c(spark: SparkSession, sf: str) -> DataFrame:
-    return etl.process_record_export(STUDY_C, spark_dictionary(spark), spark_form(spark, sf, "c_main"))
-
-
 def unpivot_c(spark: SparkSession, sf: str) -> DataFrame:
-    return _unpivot_c(spark, sf).drop("row_id")
+    return etl.process_record_export(STUDY_C, spark_dictionary(spark), spark_form(spark, sf, "c_main"))
 
 
 def participant_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,7 +48,7 @@ def participant_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def manual_linkage(spark: SparkSession, sf: str) -> DataFrame:
-    return etl.unpivot_manual(spark_form(spark, sf, "linkage")).drop("row_id")
+    return etl.unpivot_manual(spark_form(spark, sf, "linkage"))
 
 
 def no_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,14 +76,77 @@ def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _rejected(spark, sf).select("source_study", "n_rows")
 
 
+def _loaded(spark: SparkSession, sf: str) -> etl.Loaded:
+    parts = {STUDY_A: unpivot_a, STUDY_B: unpivot_b, STUDY_C: unpivot_c}
+    return etl.load_checkpoints({study: part(spark, sf) for study, part in parts.items()}, linkage=manual_linkage(spark, sf))
+
+
 def load_facts(spark: SparkSession, sf: str) -> DataFrame:
-    checkpoints = {STUDY_A: cut_lineage(unpivot_a(spark, sf)), STUDY_B: cut_lineage(unpivot_b(spark, sf))}
-    loaded = etl.load_checkpoints(checkpoints)
-    return loaded.facts.withColumn("visitnum", F.col("visitnum").cast("double"))
+    return _loaded(spark, sf).facts.withColumn("visitnum", F.col("visitnum").cast("double"))
 
 
 def linkage(spark: SparkSession, sf: str) -> DataFrame:
-    return build_linkage(etl.unpivot_manual(spark_form(spark, sf, "linkage")), spark_subjects(spark, sf))
+    return build_linkage(manual_linkage(spark, sf), spark_subjects(spark, sf))
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+
+
+def linkage_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Odd records first, then all, and all once more: a repeated batch leaves the store as it was."""
+    path, people = _new_folder(spark), spark_subjects(spark, sf)
+    rows = cut_lineage(manual_linkage(spark, sf))
+    write_linkage(build_linkage(rows.where("CAST(record_id AS BIGINT) % 2 = 1"), people), path, "one")
+    for _ in range(2):
+        write_linkage(build_linkage(rows, people, read_linkage(spark, path, without="two")), path, "two")
+    return read_linkage(spark, path)
+
+
+def _two_batches(spark: SparkSession, sf: str) -> tuple[str, DataFrame, DataFrame]:
+    facts = spark_facts(spark, sf)
+    return _new_folder(spark), facts.where("subject_key % 2 = 1"), facts.where("subject_key % 2 = 0")
+
+
+def second_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches, whose fact ids are moved past the first one's; the second is loaded twice."""
+    path, first, second = _two_batches(spark, sf)
+    write_facts(first, path, "2024-01")
+    for _ in range(2):
+        write_facts(after_stored(second, read_facts(spark, path, without="2024-02")), path, "2024-02")
+    return read_facts(spark, path).withColumn("visitnum", F.col("visitnum").cast("double"))
+
+
+def reload_smaller_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch loaded again with two domains only leaves nothing of its other domains behind."""
+    path, first, second = _two_batches(spark, sf)
+    write_facts(first, path, "2024-01")
+    write_facts(second, path, "2024-02")
+    write_facts(second.where("domain IN ('ae', 'mh')"), path, "2024-02")
+    return read_facts(spark, path).withColumn("visitnum", F.col("visitnum").cast("double"))
+
+
+def batch_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """What the write itself saw of a batch with planted violations."""
+    dirty = _dirty_facts(spark, sf)
+    missing = [f for f in FACTS.fields if f.name not in dirty.columns]
+    seen = write_facts(dirty.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]), _new_folder(spark))
+    return spark.createDataFrame([tuple(seen.values())], ", ".join(f"{name} long" for name in seen))
+
+
+def checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """The unpivoted rows, split by domain into the audit checkpoint and read back."""
+    path = _new_folder(spark)
+    write_domains(unpivot_a(spark, sf).withColumn("source_study", F.lit(STUDY_A)), path)
+    return read_domains(spark, path)
+
+
+def routed(spark: SparkSession, sf: str) -> DataFrame:
+    """Sheets with two spellings of one header; a study whose sheets have no variable column loads nothing."""
+    sheets = spark_form(spark, sf, "sheets")
+    usable_only = {STUDY_A: sheets, STUDY_B: sheets.drop("Standard_VAR", "StandardVAR")}
+    canonical = {study: normalise_columns(df, keep=("row_id", "domain")) for study, df in usable_only.items()}
+    return route_rows(with_source_study({study: df for study, df in canonical.items() if usable(df)}))
 
 
 def _dirty_facts(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +174,17 @@ QUERIES = {
     "l_rejected_sightings": rejected,
     "l_rejected_rows": rejected_rows,
     "l_load_facts": load_facts,
+    "l_load_linkage": lambda spark, sf: _loaded(spark, sf).linkage,
     "l_linkage": linkage,
+    "l_linkage_stored": linkage_stored,
+    "l_load_second_batch": second_batch,
+    "l_reload_smaller_batch": reload_smaller_batch,
+    "l_batch_checks": batch_checks,
+    "l_route_rows": routed,
+    "l_skipped_sheets": lambda spark, sf: skipped_sheets(spark_form(spark, sf, "sheets")),
+    "e_checkpoint": checkpoint,
+    "l_check_linkage_pairs": lambda spark, sf: checks.check_unique(linkage(spark, sf).select(
+        F.expr("study_a_subject_key div 40").alias("a"), F.expr("study_c_subject_key div 40").alias("c")), ["a", "c"]),
     "l_check_registry": lambda spark, sf: checks.check_registry(
         _dirty_facts(spark, sf), domain_registry(spark)),
     "l_check_not_null": lambda spark, sf: checks.check_not_null(_dirty_facts(spark, sf)),

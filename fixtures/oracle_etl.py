@@ -74,12 +74,16 @@ FROM seen
 WINDOW w AS (PARTITION BY record_id ORDER BY visitnum NULLS LAST, source_row_number)"""
 
 _FIELDS = "record_id AS record_id, subjid, visitnum, seqnum"
+#: Slot numbers of the STUDY_C columns, and one more than the greatest.
+_C_SLOTS = {"mhq": 0, "cmtrt": 1, "peres1": 8, "peres2": 9, "peres3": 10, "vsyn": 20, "vsreasnd": 21,
+            "vsorres1": 22, "vsorres2": 23, "vsorres3": 24, "vsorres4": 25, "vsorres5": 26}
+_C_LIMIT = 27
 _NONE = "CAST(NULL AS VARCHAR)"
 
 
 def _c_row(domain, var, label, value, form, column, where, *, code=_NONE, desc=_NONE, sig=_NONE,
            vsnd=_NONE, status=_NONE):
-    return (f"SELECT {_FIELDS}, '{domain}' AS domain, '{var}' AS standard_var, {label} AS standard_label,"
+    return (f"SELECT {_FIELDS}, source_row_number * {_C_LIMIT} + {_C_SLOTS[column]} + 1 AS row_id, '{domain}' AS domain, '{var}' AS standard_var, {label} AS standard_label,"
             f" {value} AS value, {code} AS value_code, {desc} AS pedesc, {sig} AS peclsig, {vsnd} AS vsnd,"
             f" '{form}' AS source_form, '{column}' AS source_var, {status} AS match_status"
             f" FROM numbered WHERE {where}")
@@ -123,25 +127,37 @@ UNPIVOT_C = _c_statement([
     _c_row("CM", "CMTRT", "'Medication'", "cmtrt", "meds", "cmtrt", _present("cmtrt")),
     *_pe_rows(), *_vs_rows()])
 
-_LINK = (("study_c_record_id", "DM", "DMSPID", "STUDY_C Record ID"),
-         ("study_c_subjid", "DM", "SUBJID", "STUDY_C Subject ID"),
-         ("study_a_subjid", "DM", "SUBJID", "STUDY_A Subject ID"),
-         ("pre_id", "DM", "SUPPDM", "Previous Subject Identifier"),
-         ("link_status", "DM", "SUPPDM", "Link Status"),
-         ("first_enrollment_visit", "SV", "VISIT", "Visit of First Enrollment"))
+# (place in the form's mapping, column, domain, variable, label)
+_LINK = ((0, "study_c_record_id", "DM", "DMSPID", "STUDY_C Record ID"),
+         (1, "study_c_subjid", "DM", "SUBJID", "STUDY_C Subject ID"),
+         (2, "study_a_subjid", "DM", "SUBJID", "STUDY_A Subject ID"),
+         (3, "pre_id", "DM", "SUPPDM", "Previous Subject Identifier"),
+         (4, "link_status", "DM", "SUPPDM", "Link Status"),
+         (6, "first_enrollment_visit", "SV", "VISIT", "Visit of First Enrollment"))
 
 MANUAL = "\nUNION ALL\n".join(
-    f"SELECT 1 AS seqnum, CAST(NULL AS INTEGER) AS visitnum, STUDY_C_subjid AS subjid,"
+    f"SELECT source_row_number * 7 + {o} + 1 AS row_id, 1 AS seqnum, CAST(NULL AS INTEGER) AS visitnum, STUDY_C_subjid AS subjid,"
     f" STUDY_C_record_id AS record_id, '{d}' AS domain, '{v}' AS standard_var, '{label}' AS standard_label,"
     f" {c} AS value, 'STUDY_A_STUDY_C_linkage' AS source_form, '{c}' AS source_var"
-    f" FROM linkage WHERE {_present(c)}" for c, d, v, label in _LINK)
+    f" FROM linkage WHERE {_present(c)}" for o, c, d, v, label in _LINK)
 
-LINKAGE = """
+_PAIRS = """
 SELECT a.subject_key AS study_a_subject_key, c.subject_key AS study_c_subject_key,
-       nullif(link_status, '') AS linkage_type
+       nullif(link_status, '') AS linkage_type, study_c_record_id AS record_id
 FROM linkage l
-LEFT JOIN subjects a ON a.source_study = 'STUDY_A' AND a.subjid = l.STUDY_A_subjid
-LEFT JOIN subjects c ON c.source_study = 'STUDY_C' AND c.subjid = l.STUDY_C_subjid"""
+LEFT JOIN {subjects} a ON a.source_study = 'STUDY_A' AND a.subjid = l.STUDY_A_subjid
+LEFT JOIN {subjects} c ON c.source_study = 'STUDY_C' AND c.subjid = l.STUDY_C_subjid"""
+LINKAGE = f"""
+SELECT row_number() OVER (ORDER BY record_id) AS linkage_id, study_a_subject_key, study_c_subject_key, linkage_type
+FROM ({_PAIRS.replace('{subjects}', 'subjects')})"""
+
+# Pairs of odd records are stored first; of them, those with an unknown side are not known again.
+LINKAGE_STORED = f"""
+WITH pairs AS ({_PAIRS.replace('{subjects}', 'subjects')}),
+one AS (SELECT row_number() OVER (ORDER BY record_id) AS linkage_id, * FROM pairs WHERE CAST(record_id AS BIGINT) % 2 = 1),
+two AS (SELECT (SELECT max(linkage_id) FROM one) + row_number() OVER (ORDER BY record_id) AS linkage_id, * FROM pairs
+        WHERE CAST(record_id AS BIGINT) % 2 = 0 OR study_a_subject_key IS NULL OR study_c_subject_key IS NULL)
+SELECT linkage_id, study_a_subject_key, study_c_subject_key, linkage_type FROM (FROM one UNION ALL FROM two)"""
 
 # Sightings in order, one family (customers sharing a screening number) at a time: an
 # identifier list grows only when a sighting finds none of its own on it.
@@ -189,21 +205,46 @@ REJECTED_ROWS = """
 SELECT source_study, count(*) AS n_rows FROM sightings
 WHERE coalesce(subjid, record_id, nullif(scrno, '')) IS NULL GROUP BY source_study"""
 
-LOADED_FACTS = f"""
-WITH a AS ({UNPIVOT_A}), b AS ({UNPIVOT_B}),
+# Participants appear by study, then by the place of the first sheet that names them, then by row.
+_PEOPLE = f"""
+a AS ({UNPIVOT_A}), b AS ({UNPIVOT_B}), c AS ({UNPIVOT_C}),
 people AS (
-  SELECT source_row_number AS s, scrno AS id, row_number() OVER (ORDER BY source_row_number) AS k FROM a_ie
-  UNION ALL
-  SELECT source_row_number, subjid, (SELECT count(*) FROM a_ie) + row_number() OVER (ORDER BY source_row_number)
-  FROM b_dm)
+  SELECT source_study, id, subjid, row_number() OVER (ORDER BY source_study, place) AS k FROM (
+    SELECT 'STUDY_A' AS source_study, scrno AS id, min(subjid) AS subjid, min(source_row_number) AS place FROM a_ie GROUP BY scrno
+    UNION ALL SELECT 'STUDY_B', subjid, subjid, min(source_row_number) FROM b_dm GROUP BY subjid
+    UNION ALL SELECT 'STUDY_C', record_id, min(subjid),
+      min(row_id + CASE domain WHEN 'MH' THEN 1 WHEN 'PE' THEN 2 WHEN 'VS' THEN 3 ELSE 4 END * 72057594037927936) FROM c GROUP BY record_id))"""
+
+LOADED_FACTS = f"""
+WITH {_PEOPLE}
 SELECT lower(domain) AS domain, 72057594037927936 + row_id AS fact_id, k AS subject_key,
        'STUDY_A' AS source_study, standard_var, standard_label, value, {_NONE} AS value_code, seqnum,
        CAST(visitnum AS DOUBLE) AS visitnum
-FROM a JOIN people ON id = scrno
+FROM a JOIN people ON id = scrno AND source_study = 'STUDY_A'
 UNION ALL
 SELECT lower(domain), 2 * 72057594037927936 + row_id, k, 'STUDY_B', standard_var, standard_label, value,
        {_NONE}, seqnum, CAST(visitnum AS DOUBLE)
-FROM b JOIN people ON id = subjid"""
+FROM b JOIN people ON id = b.subjid AND source_study = 'STUDY_B'
+UNION ALL
+SELECT lower(domain), 3 * 72057594037927936 + row_id, k, 'STUDY_C', standard_var, standard_label, value,
+       value_code, seqnum, CAST(visitnum AS DOUBLE)
+FROM c JOIN people ON id = record_id AND source_study = 'STUDY_C'"""
+
+LOADED_LINKAGE = f"""
+WITH {_PEOPLE},
+known AS (SELECT source_study, subjid, k AS subject_key FROM people)
+SELECT row_number() OVER (ORDER BY record_id) AS linkage_id, study_a_subject_key, study_c_subject_key, linkage_type
+FROM ({_PAIRS.replace('{subjects}', 'known')})"""
+
+_STORED = """SELECT domain, {id} AS fact_id, subject_key, source_study, standard_var, standard_label, value, value_code,
+       CAST(seqnum AS INTEGER) AS seqnum, CAST(CAST(visitnum AS DECIMAL(10, 2)) AS DOUBLE) AS visitnum FROM facts f"""
+SECOND_BATCH = f"""
+WITH last AS (SELECT domain AS d, source_study AS s, max(fact_id % 72057594037927936) AS id FROM facts
+              WHERE subject_key % 2 = 1 GROUP BY ALL)
+{_STORED.format(id='fact_id')} WHERE subject_key % 2 = 1
+UNION ALL
+{_STORED.format(id='fact_id + coalesce(last.id, 0)')} LEFT JOIN last ON d = domain AND s = source_study WHERE subject_key % 2 = 0"""
+SMALLER_BATCH = f"""{_STORED.format(id='fact_id')} WHERE subject_key % 2 = 1 OR (subject_key % 2 = 0 AND domain IN ('ae', 'mh'))"""
 
 # Violations planted in the facts and subjects; the Spark side plants the same ones.
 DIRTY_FACTS = """
@@ -231,6 +272,11 @@ FROM ({_DIRTY}) GROUP BY domain"""),
     "l_check_fk": (("facts", "subjects"), f"""
 SELECT domain, subject_key, count(*) AS n_rows FROM ({_DIRTY})
 WHERE subject_key NOT IN (SELECT subject_key FROM subjects) GROUP BY ALL"""),
+    "l_batch_checks": (("facts",), f"""
+SELECT count(*) AS n_rows, count(*) - count(subject_key) AS null_subject_key, count(*) - count(source_study) AS null_source_study,
+       count(*) - count(standard_var) AS null_standard_var,
+       count(CASE WHEN domain IN ('ex', 'ae', 'lb') AND source_study <> 'STUDY_A' THEN 1 END) AS not_in_registry
+FROM ({_DIRTY})"""),
     "l_check_subject_ids": (("subjects",), f"""
 SELECT rule, source_study, id, count(*) AS n_rows FROM (
   SELECT 'subjid' AS rule, source_study, subjid AS id FROM ({_DIRTY_S})
@@ -258,8 +304,22 @@ WHERE d.domain NOT IN (SELECT domain FROM ({UNPIVOT_A}))"""),
     "l_assign_chained": (("chained",), (), ASSIGNED.replace("sightings", "chained")),
     "l_rejected_sightings": (("sightings",), (), REJECTED),
     "l_rejected_rows": (("sightings",), (), REJECTED_ROWS),
-    "l_load_facts": (("a_ae", "a_sae", "a_ie", "b_mh", "b_ie", "b_dm"), (), LOADED_FACTS),
+    "e_checkpoint": (("a_ae", "a_sae", "a_ie"), (), f"SELECT *, 'STUDY_A' AS source_study FROM ({UNPIVOT_A})"),
+    "l_load_facts": (("a_ae", "a_sae", "a_ie", "b_mh", "b_ie", "b_dm", "c_main"), (), LOADED_FACTS),
+    "l_load_linkage": (("a_ae", "a_sae", "a_ie", "b_mh", "b_ie", "b_dm", "c_main", "linkage"), (), LOADED_LINKAGE),
     "l_linkage": (("linkage",), ("subjects",), LINKAGE),
+    "l_linkage_stored": (("linkage",), ("subjects",), LINKAGE_STORED),
+    "l_check_linkage_pairs": (("linkage",), ("subjects",), f"""
+SELECT study_a_subject_key // 40 AS a, study_c_subject_key // 40 AS c, count(*) AS n_rows FROM ({LINKAGE})
+WHERE study_a_subject_key IS NOT NULL AND study_c_subject_key IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1"""),
+    "l_load_second_batch": ((), ("facts",), SECOND_BATCH),
+    "l_reload_smaller_batch": ((), ("facts",), SMALLER_BATCH),
+    "l_route_rows": (("sheets",), (), """
+SELECT row_id, CASE domain WHEN 'Comment' THEN 'co' ELSE lower(domain) END AS domain,
+       coalesce("Standard_VAR", "StandardVAR") AS standard_var, "VALUE" AS value, "SeqNum" AS seqnum, 'STUDY_A' AS source_study
+FROM sheets WHERE domain NOT IN ('identifier', 'Notes')"""),
+    "l_skipped_sheets": (("sheets",), (), """
+SELECT domain, count(*) AS n_rows FROM sheets WHERE domain IN ('identifier', 'Notes') GROUP BY domain"""),
     **{name: ((), *spec) for name, spec in CHECKS.items()},
 }
 

@@ -74,6 +74,8 @@ UNION ALL SELECT study, 'Passed Exclusion', count(*) FILTER (WHERE category = 'E
 UNION ALL SELECT study, 'Enrolled', count(DISTINCT subjid) FROM a GROUP BY study"""),
     "p_eligibility_overall_a": (_slice("STUDY_A", "OVERALL"), ("subjects", "ie"), _slice_sql("STUDY_A", "OVERALL")),
     "p_eligibility_inclusion_b": (_slice("STUDY_B", "INCLUSION"), ("subjects", "ie"), _slice_sql("STUDY_B", "INCLUSION")),
+    "p_eligibility_exclusion_b": (_slice("STUDY_B", "EXCLUSION"), ("subjects", "ie"), _slice_sql("STUDY_B", "EXCLUSION")),
+    "p_eligibility_inclusion_c": (_slice("STUDY_C", "INCLUSION"), ("subjects", "ie"), _slice_sql("STUDY_C", "INCLUSION")),
     "p_eligibility_exclusion_c": (_slice("STUDY_C", "EXCLUSION"), ("subjects", "ie"), _slice_sql("STUDY_C", "EXCLUSION")),
     "p_pe_by_visit": (_on(examination.pe_abnormal, shaping.pe_by_visit), ("pe",),
                       f"SELECT * REPLACE (CAST(visitnum AS BIGINT) AS visitnum) FROM ({PE_ABNORMAL})"),

@@ -137,6 +137,14 @@ FROM {{orders}}"""
   'C' || CAST({f} AS STRING) || '-' || CAST({q.idiv(c, 2)} AS STRING) AS subjid, {none} AS scrno,
   'D' || CAST({f} AS STRING) || '-' || CAST({q.idiv(f"({c} + 1)", 2)} AS STRING) AS record_id FROM {{customer}}
 UNION ALL SELECT {c}, -1, 'STUDY_B', 'B', 'H' || CAST({c} AS STRING), 'HOT', {none} FROM {{customer}} WHERE {c} % 2 = 0"""
+    if form == "sheets":
+        # rows as an audit workbook has them: sheet names, spellings of a header, blank rows of one spelling
+        return f"""SELECT {k} AS row_id,
+  CASE {k} % 9 WHEN 0 THEN 'Comment' WHEN 1 THEN 'CO' WHEN 2 THEN 'identifier' WHEN 3 THEN 'AE' WHEN 4 THEN 'Notes' ELSE 'LB' END AS domain,
+  CASE WHEN {k} % 2 = 0 THEN 'V' || CAST({k} % 5 AS STRING) END AS `Standard_VAR`,
+  CASE WHEN {k} % 3 = 0 THEN 'W' || CAST({k} % 5 AS STRING) END AS `StandardVAR`,
+  o_orderpriority AS `VALUE`, CAST({k} % 7 AS STRING) AS `SeqNum`, 'no' AS reviewer
+FROM {{orders}}""".replace("`", "`" if q is SPARK else '"')
     raise KeyError(form)
 
 

@@ -4,7 +4,9 @@ import pytest
 
 from cohortweave.operators.dictionary import entries, normalise_dictionary
 from cohortweave.sources.forms import read_dictionary, read_forms, read_markdown
-from cohortweave.sources.store import after_stored, cut_lineage, read_facts, write_domains, write_facts
+from cohortweave.sources.store import (
+    after_stored, cut_lineage, read_domains, read_facts, read_linkage, write_domains, write_facts, write_linkage,
+)
 from tests.helpers import event, facts, rows
 
 
@@ -47,7 +49,28 @@ def test_store_round_trip_and_batches(spark, tmp_path):
         assert rows(stored, "domain", "value") == [("ae", "x"), ("ae", "z"), ("lb", "y")]
         assert rows(stored.where("domain = 'ae'"), "fact_id") == [(1,), (2,)]
     write_facts(facts(spark, *event("ae", 1, 1, AETERM="new")), path)
-    assert rows(read_facts(spark, path), "domain", "value") == [("ae", "new"), ("ae", "z"), ("lb", "y")]
+    assert rows(read_facts(spark, path), "domain", "value") == [("ae", "new"), ("ae", "z")]  # a batch is replaced as a whole
+    write_facts(first.limit(0), path)
+    assert rows(read_facts(spark, path), "value") == [("z",)]
+    with pytest.raises(ValueError):
+        write_facts(first, path, "../other")
+
+
+def test_writing_a_batch_tells_what_breaks_the_rules(spark, tmp_path):
+    df = facts(spark, *event("ae", 9, 1, study="STUDY_C", AETERM="x"), dict(domain="dm", standard_var=None), *event("ae", 1, 1, AETERM="y"))
+    seen = write_facts(df, str(tmp_path / "facts"))
+    assert seen == {"n_rows": 3, "null_subject_key": 1, "null_source_study": 0, "null_standard_var": 1, "not_in_registry": 1}
+
+
+def test_linkage_batches(spark, tmp_path):
+    path = str(tmp_path / "links")
+    pairs = spark.createDataFrame([(1, 10, 20, "exact"), (2, None, 21, None)],
+                                  "linkage_id long, study_a_subject_key long, study_c_subject_key long, linkage_type string")
+    write_linkage(pairs, path)
+    write_linkage(pairs.where("linkage_id = 2"), path, "b2")
+    write_linkage(pairs.where("linkage_id = 1"), path, "b2")
+    assert rows(read_linkage(spark, path), "linkage_id") == [(1,), (1,), (2,)]
+    assert rows(read_linkage(spark, path, without="b2"), "linkage_id") == [(1,), (2,)]
 
 
 def test_large_domain_is_split_over_files(spark, tmp_path):
@@ -61,7 +84,7 @@ def test_large_domain_is_split_over_files(spark, tmp_path):
         write_facts(many, str(path))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list((path / "domain=ae" / "source_study=STUDY_A" / "batch=first").glob("*.parquet"))) >= 4
+    assert len(list((path / "batch=first" / "domain=ae" / "source_study=STUDY_A").glob("*.parquet"))) >= 4
     assert read_facts(spark, str(path)).count() == 60000
 
 
@@ -69,6 +92,7 @@ def test_domain_checkpoint(spark, tmp_path):
     path = str(tmp_path / "audit")
     write_domains(facts(spark, *event("ae", 1, 1, AETERM="x")).drop("fact_id"), path)
     assert (tmp_path / "audit" / "domain=ae" / "source_study=STUDY_A").is_dir()
+    assert rows(read_domains(spark, path), "domain", "source_study", "value") == [("ae", "STUDY_A", "x")]
 
 
 def test_lineage_is_cut(spark):

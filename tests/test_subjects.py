@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortweave.operators import subjects as subject_rules
 from cohortweave.operators.load import build_linkage
@@ -118,6 +119,6 @@ def test_linkage_pairs(spark):
              ("r3", "study_a_subjid", "gone"), ("r4", "study_a_subjid", "gone too")]
     eav = spark.createDataFrame([(r, v, x, i) for i, (r, v, x) in enumerate(named)],
                                 "record_id string, source_var string, value string, row_id long")
-    assert rows(build_linkage(eav, people)) == [(1, 2, "exact"), (None, None, None), (None, None, None)]
-    stored = build_linkage(eav, people).where("study_a_subject_key = 1")
-    assert rows(build_linkage(eav, people, stored)) == [(None, None, None), (None, None, None)]
+    assert rows(build_linkage(eav, people)) == [(1, 1, 2, "exact"), (2, None, None, None), (3, None, None, None)]
+    stored = build_linkage(eav, people).withColumn("linkage_id", F.col("linkage_id") + 4).where("study_a_subject_key = 1")
+    assert rows(build_linkage(eav, people, stored)) == [(6, None, None, None), (7, None, None, None)]
