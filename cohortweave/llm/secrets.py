@@ -38,28 +38,40 @@ FDR = 0.1
 P_STEPS = 20
 
 
+#: Matches and code points that one fold handles; what it appends to stays so small.
+FOLD, TEXT_FOLD = 512, 16_384
+
+
+def _before(lengths: Column) -> Column:
+    """For each length the sum of those before it, in folds of ``FOLD``: a fold that appends to an array copies it each time."""
+    def running(xs: Column, start: Column) -> Column:
+        return F.aggregate(xs, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")), lambda a, x: F.struct(
+            (a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+    def blocks(xs: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / FOLD).cast("int")), lambda b: F.slice(xs, b * FOLD + 1, F.lit(FOLD)))
+        sums = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x))
+        return let(F.struct(parts.alias("parts"), running(sums, F.lit(0)).alias("starts")), lambda p: F.flatten(
+            F.zip_with(p["parts"], p["starts"], running)))
+
+    return let(lengths, blocks)
+
+
 def spans(text: Column, pattern: str, kind: int, value_group: int | None = None) -> Column:
     """The matches of ``pattern``, leftmost and not overlapping, as structs (start, kind, end, value) in
     code points; the places follow from the lengths of what lies between the matches."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group or 0))
     gaps = F.split(text, pattern, -1)
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
 
-    def walk(parts: Column) -> Column:
-        start = lambda a, i: a["at"] + F.length(F.get(parts["gaps"], i))
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(parts["whole"]) - 1),
-            F.struct(F.lit(0).alias("at"), none.alias("out")),
-            lambda a, i: F.struct(
-                (start(a, i) + F.length(F.get(parts["whole"], i))).alias("at"),
-                F.concat(a["out"], F.array(F.struct(
-                    start(a, i).alias("start"), F.lit(kind).alias("kind"),
-                    (start(a, i) + F.length(F.get(parts["whole"], i))).alias("end"),
-                    F.get(parts["value"], i).alias("value")))).alias("out")),
-            lambda a: a["out"])
-
-    found = let(F.struct(whole.alias("whole"), value.alias("value"), gaps.alias("gaps")), walk)
+    def placed(parts: Column) -> Column:
+        steps = F.zip_with(F.slice(parts["gaps"], F.lit(1), F.size(parts["whole"])), parts["whole"], lambda g, w: F.length(g) + F.length(w))
+        rows = F.arrays_zip(_before(steps).alias("before"), parts["gaps"].alias("gap"), parts["whole"].alias("whole"), parts["value"].alias("value"))
+        return F.transform(F.slice(rows, F.lit(1), F.size(parts["whole"])), lambda r: let(r["before"] + F.length(r["gap"]), lambda start: F.struct(
+            start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(r["whole"])).alias("end"), r["value"].alias("value"))))
+
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    found = let(F.struct(whole.alias("whole"), value.alias("value"), gaps.alias("gaps")), placed)
     return F.when(text.rlike(pattern), found).otherwise(none)
 
 
@@ -183,22 +195,26 @@ def listed(column: str) -> Column:
 
 
 def redacted(text: Column, found: Column, mask: str = "[secret]") -> Column:
-    """``text`` with every union of overlapping spans (ascending by start) replaced by ``mask``."""
-    def walk(t: Column) -> Column:
-        return F.aggregate(
-            found, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+    """``text`` with every union of overlapping spans (ascending by start) replaced by ``mask``. Texts are rewritten
+    ``TEXT_FOLD`` code points at a time; a union has its mask where it begins."""
+    def block(piece: Column, number: Column) -> Column:
+        low = number * TEXT_FOLD
+        here = F.filter(found, lambda s: (s["start"] < low + F.length(piece)) & (s["end"] > low))
+        return F.when(F.size(here) == 0, piece).otherwise(F.aggregate(
+            here, F.struct(F.lit("").alias("out"), low.alias("at")),
             lambda a, s: F.struct(
                 F.when(s["start"] < a["at"], a["out"])
-                .otherwise(F.concat(a["out"], F.substring(t, a["at"] + 1, s["start"] - a["at"]), F.lit(mask))).alias("out"),
+                .otherwise(F.concat(a["out"], F.substring(piece, a["at"] - low + 1, s["start"] - a["at"]), F.lit(mask))).alias("out"),
                 F.greatest(a["at"], s["end"]).alias("at")),
-            lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
+            lambda a: F.concat(a["out"], F.substring(piece, a["at"] - low + 1, F.lit(TEXT_FOLD)))))
 
-    return F.when(F.size(found) == 0, text).otherwise(let(text, walk))
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_FOLD}}}"), F.lit(0))
+    return F.when(F.size(found) == 0, text).otherwise(F.array_join(F.transform(pieces, block), ""))
 
 
 def find_secrets(docs: DataFrame, *carried: str) -> DataFrame:
     """``base``, ``runs`` and ``spans`` (kind: place in KINDS) per row of ``docs``, with the carried columns.
-    Every row stays; null and empty texts have no spans. The scan runs once, staged without texts unless carried."""
+    Every row stays, repeated rows each for itself; null and empty texts have no spans; no rows give no rows. The scan runs once, staged without texts unless carried."""
     scanned = staged(scan(docs, *carried))
     return with_spans(scanned, limits(scanned))
 
