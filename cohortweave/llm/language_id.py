@@ -114,10 +114,11 @@ def remainder(column: str = "doc_id", by: int = 4) -> Column:
 
 
 def train(texts: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages in order and log probabilities (language, bucket), the last column being 0, from the
-    rows of ``texts`` (lang, text) where neither is null; n-gram counts also give the prior."""
+    """Languages in order and log probabilities (language, bucket) from the rows of ``texts`` (lang, text) where neither is
+    null. The last column is the log prior of the language: its share of these rows."""
     rows = texts.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    n_rows = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    langs = sorted(n_rows)
     if len(langs) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     counts = np.zeros((len(langs), 1 << BUCKET_BITS))
@@ -128,7 +129,8 @@ def train(texts: DataFrame) -> tuple[list[str], np.ndarray]:
         counts[at[r["lang"]], r["bucket"]] = r["n"]
     smooth = counts + SMOOTHING
     logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)) if langs else counts
-    return langs, np.hstack([logs, np.zeros((len(langs), 1))])
+    prior = np.log(np.array([n_rows[lang] for lang in langs], np.float64)) - np.log(max(1, sum(n_rows.values())))
+    return langs, np.hstack([logs, prior[:, None]])
 
 
 PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -136,11 +138,12 @@ PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_
 
 def predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, logs = shared.value
-        logs = logs.astype(np.float32)
+        langs, learned = shared.value
+        logs, prior = learned.astype(np.float32), learned[:, -1]
+        logs[:, -1] = 0  # the bucket of n-grams that are none
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            total = np.zeros((len(langs), len(texts)))
+            total = np.repeat(prior[:, None], len(texts), axis=1)
             for own, begins, found in chunks([t or "" for t in texts]):
                 if not len(begins):
                     continue
@@ -163,7 +166,8 @@ def identify(docs: DataFrame, learn_from: DataFrame, held_out: Column) -> DataFr
     """doc_id, held_out, lang_pred, score (posterior of the language, 0 to 1) per row of ``docs``.
 
     Learns from ``learn_from`` (lang, text). A text that is null or has no letter gets ``und``
-    with score 0, as do all if there is nothing to learn from; ties go to the first language by name.
+    with score 0, as do all if there is nothing to learn from; ties go to the first language by name. Repeated rows count
+    each; no rows give no rows; other columns are not used.
     """
     shared = docs.sparkSession.sparkContext.broadcast(train(learn_from))
     return (docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), F.col("text").cast("string"))
