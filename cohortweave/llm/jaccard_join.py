@@ -95,19 +95,20 @@ def sign(bands: int, rows: int):
     return run
 
 
-MEMBERS = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("grams", pa.binary()), ("hubs", pa.list_(pa.int64()))])
-MEMBERS_DDL = "node long, copies long, grams binary, hubs array<long>"
+MEMBERS = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("grams", pa.binary()),
+                     ("hubs", pa.list_(pa.int64())), ("blocks", pa.list_(pa.int64()))])
+MEMBERS_DDL = "node long, copies long, grams binary, hubs array<long>, blocks array<long>"
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, node, copies, hubs) to members with their whole shingle sets."""
+    """(text, node, copies, hubs, blocks) to members with their whole shingle sets."""
     for batch in batches:
-        node, copies, hubs = batch.columns[1:]
+        node, copies, hubs, blocks = batch.columns[1:]
         texts = [t or b"" for t in binary(batch.column(0))]
         for lo, hi in slices(texts, 2_000_000):
             n = hi - lo
-            yield record_batch(MEMBERS, (node.slice(lo, n), copies.slice(lo, n),
-                                         [shingles(t.split()).tobytes() for t in texts[lo:hi]], hubs.slice(lo, n)))
+            yield record_batch(MEMBERS, (node.slice(lo, n), copies.slice(lo, n), [shingles(t.split()).tobytes() for t in texts[lo:hi]],
+                                         hubs.slice(lo, n), blocks.slice(lo, n)))
 
 
 def common_grams(sets: list[np.ndarray]) -> np.ndarray:
@@ -197,10 +198,6 @@ def verify_groups(threshold: float):
     return run
 
 
-def _node():
-    return F.conv(F.substring(F.hex("content"), 1, 15), 16, 10).cast("long")
-
-
 def join_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """doc_id, row (a hash of the text), class_id, class_root, n_links per row of ``docs`` (doc_id, text).
 
@@ -208,33 +205,35 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     sets of five-word shingles is ``threshold`` or more; copies have similarity 1. ``n_links`` is the number
     of rows linked to the row (repeated rows included); ``class_id`` the smallest doc_id among
     all rows connected by links (null if none has one). Null texts and texts without words have no shingles: no
-    links, each a class of its own with its own doc_id and no ``class_root``.
+    links, each a class of its own with its own doc_id; ``class_root`` is null for every row without links. No rows give no
+    rows; other columns are not used.
     """
     bands = bands_for(threshold, recall)
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("row"),
                         F.col("text").cast("string"))
-    signed = staged(keyed.mapInArrow(sign(bands, ROWS), SIGNED_DDL).withColumn("node", _node()))
-    own = signed.filter(F.col("node").isNotNull())
-    contents = own.groupBy("node").agg(F.count("*").alias("copies"), F.max("size").alias("size"),
-                                       F.min_by(F.struct("doc_id", "row"), F.struct("doc_id", "row")).alias("at"),
-                                       F.first("bands").alias("bands"))
-    contents = staged(contents)
-
-    banded = contents.select("node", F.explode("bands").alias("band"))
+    signed = staged(keyed.mapInArrow(sign(bands, ROWS), SIGNED_DDL))
+    own = signed.filter(F.col("content").isNotNull())
+    contents = own.groupBy("content").agg(F.count("*").alias("copies"), F.max("size").alias("size"),
+                                          F.min_by(F.struct("doc_id", "row"), F.struct("doc_id", "row")).alias("at"),
+                                          F.first("bands").alias("bands"))
+    contents = staged(contents.withColumn("node", F.monotonically_increasing_id()))
+
+    banded = contents.select("node", "size", F.explode("bands").alias("band"))
     buckets = staged(banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other"))
                      .filter("hub < other").select("band", "hub"))
-    met = banded.join(buckets, "band").select("node", "hub").distinct()
-    hubs = staged(met.groupBy("node").agg(F.sort_array(F.collect_list("hub")).alias("hubs"))
-                  .join(contents, "node").select("node", "copies", "size", "hubs", "at.doc_id", "at.row"))
+    met = staged(banded.join(buckets, "band").select("node", "size", "hub").distinct())
+    # The blocks of large hubs are found on narrow rows; full sets are moved once, to the groups that verify them.
+    large = staged(met.groupBy("hub").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_CONTENTS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks")).filter("blocks > 1"))
+    hubs = staged(met.join(large, "hub", "left").groupBy("node")
+                  .agg(F.sort_array(F.collect_list(F.struct("hub", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks")))).alias("of"))
+                  .join(contents, "node").select("node", "copies", "of.hub", "of.blocks", "at.doc_id", "at.row"))
 
-    sizes = (hubs.select(F.explode("hubs").alias("hub"), "size").groupBy("hub")
-             .agg(F.greatest(F.ceil(F.count("*") / BLOCK_CONTENTS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks")))
     texts = keyed.select(F.col("doc_id").alias("id"), F.col("row").alias("own"), "text").filter(F.col("text").isNotNull())
-    wanted = hubs.select("node", "copies", "hubs", "doc_id", "row")
-    sets = (texts.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("row")))
-            .select("text", "node", "copies", "hubs").mapInArrow(full_sets, MEMBERS_DDL))
-    sets = staged(sets)
-    dealt = (sets.withColumn("hub", F.explode("hubs")).join(sizes, "hub")
+    sets = staged(texts.join(hubs.hint("merge"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("row")))
+                  .select("text", "node", "copies", "hub", "blocks").mapInArrow(full_sets, MEMBERS_DDL))
+    dealt = (sets.select("node", "copies", "grams", "hubs", F.explode(F.arrays_zip("hubs", "blocks")).alias("in"))
+             .select("node", "copies", "grams", "hubs", F.col("in.hubs").alias("hub"), F.col("in.blocks").alias("blocks"))
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
     pairs = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "hub", F.least("block", "with").alias("first"), F.greatest("block", "with").alias("second"),
@@ -243,19 +242,18 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
                       .mapInArrow(verify_groups(threshold), "node long, links long, root long"))
 
     roots = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    linked = (contents.select("node", "copies", "at.doc_id")
+    linked = (contents.select("content", "node", "copies", "at.doc_id")
               .join(verified.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
               .join(roots, "node", "left")
-              .select("node", "doc_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+              .select("content", "doc_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                       F.coalesce("root", "node").alias("class_root"))
               .filter("n_links > 0"))
     linked = staged(linked)
     classes = linked.groupBy("class_root").agg(F.min("doc_id").alias("class_id"))
     named = linked.drop("doc_id").join(classes, "class_root")
-    return (signed.select("doc_id", "row", "node").join(named, "node", "left")
+    return (signed.select("doc_id", "row", "content").join(named, "content", "left")
             .select("doc_id", "row", F.when(F.col("class_root").isNotNull(), F.col("class_id"))
-                    .otherwise(F.col("doc_id")).alias("class_id"),
-                    F.coalesce("class_root", "node").alias("class_root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+                    .otherwise(F.col("doc_id")).alias("class_id"), "class_root", F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
