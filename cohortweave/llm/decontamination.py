@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,13 +95,22 @@ class WindowSet:
                     yield p, length, items
 
 
+def built(windows: dict[bytes, list[str]]) -> WindowSet:
+    """The set of the broadcast windows; the last one is kept by the worker process. Plain dicts are broadcast, as
+    executors need not have this module to unpickle them."""
+    held = sys.modules.setdefault("_llm_window_set", types.ModuleType("_llm_window_set")).__dict__
+    if held.get("windows") is not windows:
+        held.update(windows=windows, set=WindowSet(windows))
+    return held["set"]
+
+
 SCANNED = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()),
                      ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
 
 
 def scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows: WindowSet = shared.value
+        windows = built(shared.value)
         for batch in batches:
             ids = batch.column(0)
             row = batch.column(1)
@@ -206,7 +216,7 @@ def window_blocks(benchmark: DataFrame, block: int = BLOCK_WINDOWS) -> Iterator[
 
 
 def scans(docs: DataFrame, blocks: list) -> list[DataFrame]:
-    """One scan of the texts for each broadcast ``WindowSet``."""
+    """One scan of the texts for each broadcast dict of windows."""
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("row"),
                         F.col("text").cast("string"))
     return [texts.mapInArrow(scan(shared), SCANNED_DDL) for shared in blocks]
@@ -235,7 +245,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK
     the same id are one item; a null id counts as the id ''; items without words match nothing.
     """
     spark = docs.sparkSession
-    found = scans(docs, [spark.sparkContext.broadcast(WindowSet(windows)) for windows in window_blocks(benchmark, block)])
+    found = scans(docs, [spark.sparkContext.broadcast(windows) for windows in window_blocks(benchmark, block)])
     out = found[0]
     if len(found) > 1:
         every = every_hit(found).withColumnsRenamed({"doc_id": "id", "row": "own"})

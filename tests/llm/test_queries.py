@@ -1,6 +1,7 @@
 """Registered queries with SQL against it, and the pipeline's stages by what they must keep and drop."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
@@ -59,3 +60,32 @@ def test_pipeline_cuts_the_union_of_all_blocks(spark, sf_dir, monkeypatch):
         monkeypatch.setattr(decontamination, "window_blocks", lambda b, n=None, k=block: blocks(b, k))
         got[block] = brute.order(map(tuple, corpus_pipeline.decontaminate(spark, docs, sf_dir).collect()))
     assert got[1] == got[2] == got[200_000] == brute.order([(1, "a  b"), (2, ", c"), (1, "d  e"), (1, "d  e"), (3, "x  y")])
+
+
+CLASHING = ("_own", "_id", "_row", "_spans", "id", "own", "row", "base", "runs", "spans", "kept", "n_words", "content", "node", "hubs")
+
+
+@pytest.mark.parametrize("block", [1, 200_000])
+def test_stages_with_clashing_columns_nulls_and_no_rows(spark, sf_dir, monkeypatch, block):
+    """Extra columns of any name come back as they were, whatever a stage does; no rows give no rows."""
+    blocks = decontamination.window_blocks
+    monkeypatch.setattr(decontamination, "window_blocks", lambda b, n=None: blocks(b, block))
+    items = spark.createDataFrame([("i1", "one two three"), ("i2", "zeta eta")], "item_id string, text string")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: items)
+    words = " ".join(f"w{i} of the and to" for i in range(40))
+    rows = [(1, f"{words} one two three zeta eta token: abcdefgh1", "en", None, 5), (1, words, None, "s", None), (None, None, None, None, None),
+            (2, "", "en", "s", 0), (3, words + " x" * 3, "en", "s", 9), (3, words + " x" * 3, "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for k, name in enumerate(CLASHING):
+        docs = docs.withColumn(name, F.lit(f"mine{k}"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == docs.columns
+        kept = got.collect()
+        assert all(r[c] == f"mine{k}" for r in kept for k, c in enumerate(CLASHING)), name
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+        if name == "decontamination":
+            assert all("zeta" not in (r.text or "") for r in kept)
+        if name == "secret_scans":
+            assert len(kept) == len(rows) and any("[secret]" in (r.text or "") for r in kept)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == len(rows)
