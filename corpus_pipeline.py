@@ -31,6 +31,12 @@ def _with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
     return out.select(*columns)
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """id, own (a hash of the text) and the whole row in one column, so that no name of ``docs`` can clash."""
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("own"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that break no rule."""
     return docs.filter(quality_rules.verdict(F.col("text"))["kept"])
@@ -43,26 +49,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = (found.filter("doc_id <=> class_id").groupBy("class_root").agg(F.min("row").alias("first")))
     doomed = (found.join(first, "class_root").filter("NOT (doc_id <=> class_id AND row = first)")
               .select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct())
-    rows = docs.withColumn("_own", F.xxhash64(F.col("text").cast("string")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_row"))
+    rows = _packed(docs)
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_row"))
     rest = rows.join(doomed, same, "left_anti")
     # rows alike in doc_id and text are one another's copies, too: one stays
     alike = found.filter("doc_id <=> class_id").groupBy("doc_id", "row").agg(F.count("*").alias("n")).filter("n > 1")
     if not alike.isEmpty():
-        words = F.coalesce(F.length(F.btrim("text", F.lit(quality_rules.SPACES))) > 0, F.lit(False))
-        rest = rest.filter(words).dropDuplicates(["doc_id", "_own"]).unionByName(rest.filter(~words))
-    return rest.select(*docs.columns)
+        words = F.coalesce(F.length(F.btrim("row.text", F.lit(quality_rules.SPACES))) > 0, F.lit(False))
+        rest = rest.filter(words).dropDuplicates(["id", "own"]).unionByName(rest.filter(~words))
+    return rest.select("row.*")
 
 
-def _cut_spans(at: int):
-    """Remove the words of the spans in the last column from the text at column ``at`` and what stands between them."""
+def _cut_spans(names: list[str]):
+    """(row, spans): remove the words of the spans from the row's text and what stands between them."""
     def run(batches):
         for batch in batches:
-            texts, spans = binary(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist()
-            out = [decontamination.without_words(t, s) if s else t for t, s in zip(texts, spans)]
-            columns = list(batch.columns)[:-1]
+            columns, spans = batch.column(0).flatten(), batch.column(1).to_pylist()
+            at = names.index("text")
+            out = [decontamination.without_words(t, s) if s else t for t, s in zip(binary(columns[at]), spans)]
             columns[at] = pa.array(out, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -70,7 +76,7 @@ def _cut_spans(at: int):
 def _cut_hits(shared, at: int):
     """Remove the words of hit windows from the text at column ``at`` and what stands between them."""
     def run(batches):
-        windows = shared.value
+        windows = decontamination.built(shared.value)
         for batch in batches:
             out = [None if t is None else decontamination.without_hits(t, windows) for t in binary(batch.column(at))]
             columns = list(batch.columns)
@@ -84,15 +90,14 @@ def cut_benchmark(docs: DataFrame, benchmark: DataFrame, block: int = decontamin
     """``docs`` without the words of benchmark windows. Of several blocks of windows, all are looked for in the unchanged
     texts, and the union of their hits is cut once."""
     at = docs.columns.index("text")
-    blocks = [docs.sparkSession.sparkContext.broadcast(decontamination.WindowSet(w))
+    blocks = [docs.sparkSession.sparkContext.broadcast(w)
               for w in decontamination.window_blocks(benchmark, block)]
     if len(blocks) == 1:
         return docs.mapInArrow(_cut_hits(blocks[0], at), docs.schema)
     spans = decontamination.hit_spans(docs, blocks)
-    rows = docs.withColumn("_own", F.xxhash64(F.col("text").cast("string")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_row"))
-    return (rows.join(spans.toDF("_id", "_row", "_spans"), same, "left").select(*docs.columns, "_spans")
-            .mapInArrow(_cut_spans(at), docs.schema))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_row"))
+    return (_packed(docs).join(spans.toDF("_id", "_row", "_spans"), same, "left").select("row", "_spans")
+            .mapInArrow(_cut_spans(docs.columns), docs.schema))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -104,8 +109,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mask."""
-    found = secrets.find_secrets(docs, *docs.columns)
-    return _with_text(found, secrets.redacted(F.col("text"), F.col("spans")), docs.columns)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    found = secrets.find_secrets(docs.select(others, F.col("text")), "row", "text")
+    masked = found.select("row", secrets.redacted(F.col("text"), F.col("spans")).alias("masked"))
+    return _with_text(masked.select("row.*", F.col("masked").alias("text")), F.col("text"), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
