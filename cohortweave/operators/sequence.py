@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from cohortweave.sources.store import cut_lineage
 
-#: Inputs of so many rows at most are not cut.
-SPLIT_ABOVE = 50_000
+#: Inputs of so many rows at most are not cut (a tenth of it, where all rows are one group).
+SPLIT_ABOVE = 500_000
 #: Sampled rows a part (their number, narrow rows on the driver, is bounded by it), and the most parts.
 SAMPLED, PARTS_MOST = 20, 4096
 
@@ -100,7 +100,9 @@ def sequence_within(
     kept = [c for c in df.columns if c not in {*before, *fills}]
     n = body.count()  # from the staged files' footers
     large, cuts = [], []
-    if n > (SPLIT_ABOVE if split_above is None else split_above):
+    if split_above is None:
+        split_above = SPLIT_ABOVE if keys else SPLIT_ABOVE // 10
+    if n > split_above:
         parts = parts or min(PARTS_MOST, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         large, cuts = _cuts(body, n, keys, places, parts)
     if not cuts:

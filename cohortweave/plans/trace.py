@@ -41,9 +41,19 @@ def _participants(subjects: DataFrame, subjid: str | None, study: str | None = N
     return who.select("subject_key", "subjid")
 
 
+#: An identifier has one key a study; so many are read as a pushed filter.
+KEYS_PUSHED = 10
+
+
 def _of(facts: DataFrame, who: DataFrame, subjid: str | None) -> DataFrame:
-    """For one participant, keep only that participant's facts before grouping them."""
-    return facts if subjid is None else facts.join(who.select("subject_key"), "subject_key", "left_semi")
+    """For one participant, only that participant's facts: the few keys are looked up first and reach the scan as a filter,
+    which skips files and row groups (more keys than one participant can have would be joined)."""
+    if subjid is None:
+        return facts
+    keys = [r["subject_key"] for r in who.select("subject_key").limit(KEYS_PUSHED + 1).collect()]
+    if len(keys) > KEYS_PUSHED:
+        return facts.join(who.select("subject_key"), "subject_key", "left_semi")
+    return facts.where(F.col("subject_key").isin(*keys))
 
 
 def _dose_days(facts: DataFrame) -> DataFrame:

@@ -55,3 +55,30 @@ def test_topk_rank_is_cut_before_the_shuffle(spark, sf_dir):
     from __spark_entry__ import queries
 
     assert "WindowGroupLimit" in plan_of(queries()["r_topk"](spark, sf_dir))
+
+
+def test_one_subject_reads_few_row_groups(spark, tmp_path):
+    """The subject's key reaches the scan, and row groups without the subject are skipped by their Bloom filters."""
+    from cohortweave.plans.trace import subject_demographics
+    from cohortweave.sources.store import read_facts, write_facts
+
+    path, n = str(tmp_path / "facts"), 40_000
+    facts = spark.range(n).selectExpr(
+        "'dm' AS domain", "id AS fact_id", "xxhash64(id div 3) AS subject_key", "'STUDY_A' AS source_study",
+        "element_at(array('AGE', 'AGEU', 'SEX'), CAST(id % 3 + 1 AS INT)) AS standard_var", "'x' AS standard_label",
+        "concat('v', id) AS value", "CAST(NULL AS STRING) AS value_code", "1 AS seqnum", "CAST(1 AS DECIMAL(10,2)) AS visitnum")
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "20000")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_facts(facts, path)
+        people = spark.range(n // 3).selectExpr("xxhash64(id) AS subject_key", "'STUDY_A' AS source_study", "concat('S', id) AS subjid")
+        one = subject_demographics(people, read_facts(spark, path), subjid="S77")
+        assert [tuple(r) for r in one.collect()] == [("S77", "v231", "v232", "v233")]
+        leaves = one._jdf.queryExecution().executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.size()) if "subject_key" in leaves.apply(i).simpleString(500) and "PushedFilters" in leaves.apply(i).simpleString(5000)]
+        assert scans and any("EqualTo(subject_key" in s.simpleString(5000) or "In(subject_key" in s.simpleString(5000) for s in scans)
+        assert min(s.metrics().apply("numOutputRows").value() for s in scans) < n / 10
+    finally:
+        hadoop.unset("parquet.block.size")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
