@@ -44,7 +44,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _batch_folder(path: str, batch: str) -> str:
+def batch_folder(path: str, batch: str) -> str:
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
         raise ValueError("a batch is named by letters, digits, '_', '.' and '-'")
     return f"{path}/{BATCH}={batch}"
@@ -71,7 +71,7 @@ def write_facts(facts: DataFrame, path: str, batch: str = "first") -> dict[str,
     checked = out.observe(seen, *[rule.alias(name) for name, rule in rules.items()])
     (checked.hint("rebalance", *PARTITIONS)
         .sortWithinPartitions(*PARTITIONS, "standard_var", "subject_key")
-        .write.mode("overwrite").options(**SUBJECT_FILTER).partitionBy(*PARTITIONS).parquet(_batch_folder(path, batch)))
+        .write.mode("overwrite").options(**SUBJECT_FILTER).partitionBy(*PARTITIONS).parquet(batch_folder(path, batch)))
     try:
         return seen.get
     except Py4JJavaError:  # written, but from a plan that Spark knew to have no rows: such a plan observes nothing
@@ -81,7 +81,7 @@ def write_facts(facts: DataFrame, path: str, batch: str = "first") -> dict[str,
 def write_linkage(pairs: DataFrame, path: str, batch: str = "first") -> None:
     """Store a batch of linkage pairs, replacing it if it is there already."""
     out = pairs.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LINKAGE.fields])
-    out.write.mode("overwrite").parquet(_batch_folder(path, batch))
+    out.write.mode("overwrite").parquet(batch_folder(path, batch))
 
 
 def _read(spark: SparkSession, path: str, kind: StructType, without: str | None) -> DataFrame:

@@ -14,7 +14,7 @@ from cohortweave.operators.load import (
 )
 from cohortweave.operators.subjects import rejected_sightings, resolve_subjects
 from cohortweave.operators.unpivot import ROW
-from cohortweave.plans import etl
+from cohortweave.plans import etl, quality
 from cohortweave.schema import FACTS, STUDY_A, STUDY_B, STUDY_C, domain_registry
 from cohortweave.sources.store import (
     after_stored, cut_lineage, read_domains, read_facts, read_linkage, shared_folder, write_domains, write_facts, write_linkage,
@@ -126,6 +126,15 @@ def reload_smaller_batch(spark: SparkSession, sf: str) -> DataFrame:
     return read_facts(spark, path).withColumn("visitnum", F.col("visitnum").cast("double"))
 
 
+def _summarised(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Summaries of two batches that share subjects, visits and domains; the second is replaced by a whole one."""
+    path, facts = _new_folder(spark), spark_facts(spark, sf)
+    for batch, part in (("one", "fact_id % 3 = 1"), ("two", "fact_id % 3 = 2"), ("two", "fact_id % 3 <> 1")):
+        write_facts(facts.where(part), path, batch)
+        quality.write_summaries(spark, path, batch)
+    return quality.read_summary(spark, path, name)
+
+
 def batch_checks(spark: SparkSession, sf: str) -> DataFrame:
     """What the write itself saw of a batch with planted violations."""
     dirty = _dirty_facts(spark, sf)
@@ -180,6 +189,8 @@ QUERIES = {
     "l_load_second_batch": second_batch,
     "l_reload_smaller_batch": reload_smaller_batch,
     "l_batch_checks": batch_checks,
+    "q_dq_missingness_stored": lambda spark, sf: quality.missingness_of(_summarised(spark, sf, "counts")),
+    "q_dq_visit_completeness_stored": lambda spark, sf: quality.visit_completeness_of(_summarised(spark, sf, "visits")),
     "l_route_rows": routed,
     "l_skipped_sheets": lambda spark, sf: skipped_sheets(spark_form(spark, sf, "sheets")),
     "e_checkpoint": checkpoint,

@@ -64,6 +64,8 @@ def oracle_sql() -> dict[str, str]:
            for name, (tables, sql) in oracle_queries.QUERIES.items()}
     for name, (forms, tables, sql) in oracle_etl.QUERIES.items():
         out[name] = with_tables(oracle_etl.heads(forms) + duck_ctes(*tables), sql)
+    for name in ("q_dq_missingness", "q_dq_visit_completeness"):  # from summaries of batches, the same
+        out[f"{name}_stored"] = out[name]
     for name, (_, tables, sql) in page_queries.PAGES.items():
         out[name] = with_tables(duck_ctes(*tables), sql)
     out.update({name: sql.strip() for name, (_, sql) in retrieval_queries.RETRIEVAL.items() if sql})

@@ -3,6 +3,7 @@
 import pytest
 
 from cohortweave.operators.dictionary import entries, normalise_dictionary
+from cohortweave.plans import quality
 from cohortweave.sources.forms import read_dictionary, read_forms, read_markdown
 from cohortweave.sources.store import (
     after_stored, cut_lineage, read_domains, read_facts, read_linkage, write_domains, write_facts, write_linkage,
@@ -99,3 +100,18 @@ def test_lineage_is_cut(spark):
     cut = cut_lineage(spark.range(5).selectExpr("id * 2 AS x"))
     plan = cut._jdf.queryExecution().toString()
     assert "Range" not in plan and "stage-" in plan and cut.count() == 5
+
+
+def test_summaries_merge_over_batches(spark, tmp_path):
+    """Counts add up, a visit that two batches know counts once, and a batch written again replaces its summary."""
+    path = str(tmp_path / "facts")
+    one = facts(spark, *event("ae", 1, 1, "1", AETERM="x", AESEV=" "), *event("vs", 2, 1, "2", VSTEST=None))
+    two = facts(spark, *event("ae", 1, 2, "1", AETERM="y"), *event("ae", 1, 3, "2", AETERM=""))
+    for batch, rows_ in (("one", one), ("two", one), ("two", two)):
+        write_facts(rows_, path, batch)
+        quality.write_summaries(spark, path, batch)
+    both = one.unionByName(two)
+    assert rows(quality.missingness_of(quality.read_summary(spark, path, "counts"))) == rows(quality.dq_missingness(None, both))
+    visits = quality.read_summary(spark, path, "visits")
+    assert rows(quality.visit_completeness_of(visits)) == rows(quality.dq_visit_completeness(None, both))
+    assert visits.count() == 4 and visits.distinct().count() == 3
