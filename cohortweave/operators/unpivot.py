@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,18 +121,27 @@ def explode_cells(packed: DataFrame, mapping: DataFrame) -> DataFrame:
     ).select("*", "cell.mapping", "cell.value").drop("cell").join(mapping, "mapping")
 
 
-def unpivot_forms(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str) -> DataFrame:
-    """All mapped forms that exist to numbered rows, one per recorded cell."""
+def _by_form(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str) -> dict[str, list[Entry]]:
     by_form: dict[str, list[Entry]] = {}
     for m in mapping:
         if m.source_form in forms:
             by_form.setdefault(m.source_form, []).append(m)
     if not by_form:
         raise ValueError(f"no form of {study} is named in the dictionary")
-    packed, ie_seq = None, {}
+    return by_form
+
+
+def pack_forms(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str) -> DataFrame:
+    """The packed rows of all mapped forms that exist; enough to see which domains have any."""
+    return reduce(DataFrame.unionByName, [
+        pack_form(forms[form], rows, study) for form, rows in _by_form(forms, mapping, study).items()])
+
+
+def unpivot_forms(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str) -> DataFrame:
+    """All mapped forms that exist to numbered rows, one per recorded cell."""
+    by_form = _by_form(forms, mapping, study)
+    packed, ie_seq = pack_forms(forms, mapping, study), {}
     for form, rows in by_form.items():
-        part = pack_form(forms[form], rows, study)
-        packed = part if packed is None else packed.unionByName(part)
         ie_seq.update(ie_sequence(forms[form].columns, [m for m in rows if m.domain == "IE"], study))
 
     known = entries_frame(packed.sparkSession, (m for rows in by_form.values() for m in rows), ie_seq=ie_seq)

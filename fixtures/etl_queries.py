@@ -13,7 +13,7 @@ from cohortweave.operators.load import (
     build_linkage, normalise_columns, route_rows, skipped_sheets, usable, with_source_study,
 )
 from cohortweave.operators.subjects import rejected_sightings, resolve_subjects
-from cohortweave.operators.unpivot import ROW
+from cohortweave.operators.unpivot import ROW, pack_forms
 from cohortweave.plans import etl, quality
 from cohortweave.schema import FACTS, STUDY_A, STUDY_B, STUDY_C, domain_registry
 from cohortweave.sources.store import (
@@ -28,9 +28,11 @@ def _forms(spark: SparkSession, sf: str, **names: str) -> dict[str, DataFrame]:
     return {form: spark_form(spark, sf, table) for form, table in names.items()}
 
 
+_A_FORMS = {"AE": "a_ae", "sae": "a_sae", "IE": "a_ie"}
+
+
 def unpivot_a(spark: SparkSession, sf: str) -> DataFrame:
-    return etl.process_forms(STUDY_A, spark_dictionary(spark),
-                             _forms(spark, sf, AE="a_ae", sae="a_sae", IE="a_ie"))
+    return etl.process_forms(STUDY_A, spark_dictionary(spark), _forms(spark, sf, **_A_FORMS))
 
 
 def unpivot_b(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,7 +55,8 @@ def manual_linkage(spark: SparkSession, sf: str) -> DataFrame:
 
 def no_rows(spark: SparkSession, sf: str) -> DataFrame:
     mapping = entries(study_dictionary(spark_dictionary(spark), STUDY_A))
-    return empty_domains(unpivot_a(spark, sf), mapping)
+    forms = {name.upper(): df for name, df in _forms(spark, sf, **_A_FORMS).items()}
+    return empty_domains(pack_forms(forms, mapping, STUDY_A), mapping)
 
 
 def _resolved(spark: SparkSession, sf: str):
