@@ -182,6 +182,41 @@ def test_sharding(spark, odd):
     assert sharding.shard(df.limit(0)).count() == 0
 
 
+def test_sharding_follows_the_curve(spark):
+    """Against a plain placement: cells by exact ranks, runs of the curve's order; strings with one long beginning differ."""
+    draw = random.Random(10)
+    rows = [(i, "x" * draw.randint(0, 400), draw.choice(["de", "en", None]), f"https://site.example/{draw.randint(0, 40):03d}", draw.randint(-5, 500)) for i in range(900)]
+    rows += [(None, None, None, "https://site.example/000", None)] * 450 + [(900, "y" * 900_000, "en", None, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, stamp long").withColumn("number", F.lit("n"))
+    got = sharding.shard(df.repartition(4), dimensions=("lang", "source", "stamp")).collect()
+    assert len(got) == len(rows)
+
+    def cells(values):
+        """Of equal values all take the cell of the first; ranks are cut into 32 runs."""
+        ranked = sorted(values)
+        return {v: ranked.index(v) * 32 // len(ranked) for v in set(values)}
+
+    def place(values):
+        own = cells(values)
+        cuts = sorted(min(v for v in own if own[v] == c) for c in set(own.values()) if c > 0)
+        return [sum(c <= v for c in cuts) for v in values]
+
+    texts = [place([(r[k] or "").encode() for r in rows]) for k in (2, 3)]
+    by_id = {r.doc_id: r for r in got if r.doc_id is not None}
+    stamps = sharding.number_cuts(spark.createDataFrame([(r[4] if r[4] is not None else -(1 << 62),) for r in rows], "v long"), "v", 32)
+    numbers = [sum(c <= (r[4] if r[4] is not None else -(1 << 62)) for c in stamps) for r in rows]
+    want = sharding.hilbert_index(np.array([*texts, numbers]).T)
+    assert all(by_id[r[0]].curve == w for r, w in zip(rows, want.tolist()) if r[0] is not None)
+    assert len(set(texts[1])) > 15
+    ordered = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [r.curve for r in ordered] == sorted(want.tolist())
+    sources = {r[0]: r[3] for r in rows}
+    held = defaultdict(set)
+    for r in by_id.values():
+        held[r.shard].add(sources[r.doc_id])
+    assert np.mean([len(h) for h in held.values()]) < 0.7 * len(set(sources.values()))  # files prune on the source
+
+
 def test_scoring(spark):
     texts = ["The cat sat.", "the cat", None, "", "é the cat sat on", "dog dog", "the cat"]
     rows = [(i, texts[i % len(texts)]) for i in range(30)]
