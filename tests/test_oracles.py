@@ -26,7 +26,7 @@ def test_query_equals_oracle(spark, duck, sf_dir, name):
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) <= set(entry_points.queries())
-    assert set(QUERIES) - set(ORACLES) == {"r_chunk_separator"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_runs(spark):
