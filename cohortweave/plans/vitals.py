@@ -20,7 +20,6 @@ TEST_PATTERNS = (
 )
 
 
-
 def test_display(name: Column) -> Column:
     shown = F.lit(None).cast("string")
     for pattern, test in reversed(TEST_PATTERNS):
