@@ -1,12 +1,12 @@
 """The data dictionary: which source column of which form feeds which standard variable.
 
-A dictionary has a few thousand rows at most and decides the shape of the plans, so it
-is cleaned as a DataFrame and then read on the driver, behind a size check.
+It is cleaned as a DataFrame and stays one where forms are unpivoted. Only the record export,
+whose slots depend on single entries, reads it on the driver, behind a size check.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +38,7 @@ class Entry:
 def normalise_dictionary(raw: DataFrame, study: str) -> DataFrame:
     """Project one study's crosswalk and clean it: trimmed texts, lower-case source
     variables, upper-case forms (lower-case in STUDY_C), rows without a source variable
-    dropped. ``dict_row`` keeps the order of the file."""
+    dropped. ``dict_row`` keeps the order of the file and tells its rows apart."""
     form, var = f"{study}_FORM", f"{study}_VAR"
     needed = ["Standard_Domain", "Standard_VAR", "Standard_LABEL", form, var]
     missing = [c for c in needed if c not in raw.columns]
@@ -101,31 +101,41 @@ def first_mapping(mapping: Iterable[Entry], source_var: str, domain: str | None
          and domain in (None, m.domain) and standard_var in (None, m.standard_var)), None)
 
 
-def entries_frame(spark: SparkSession, mapping: Iterable[Entry], **literals: dict[int, object]) -> DataFrame:
-    """Entries as a (dictionary-sized) frame keyed by ``mapping``; ``literals`` adds
-    integer columns given per ordinal."""
-    rows = [
-        (m.ordinal, m.domain, m.standard_var, m.standard_label, m.source_form, m.source_var,
-         *[values.get(m.ordinal) for values in literals.values()])
-        for m in mapping]
-    schema = ("mapping int, domain string, standard_var string, standard_label string, "
-              "source_form string, source_var string" + "".join(f", {n} int" for n in literals))
-    return spark.createDataFrame(rows, schema)
+def entries_frame(spark: SparkSession, mapping: Iterable[Entry]) -> DataFrame:
+    """Entries as a (dictionary-sized) frame keyed by ``mapping``."""
+    return spark.createDataFrame(
+        [(m.ordinal, m.domain, m.standard_var, m.standard_label, m.source_form, m.source_var) for m in mapping],
+        "mapping int, domain string, standard_var string, standard_label string, source_form string, source_var string")
 
 
-def form_coverage(spark: SparkSession, forms: Iterable[str], mapping: Iterable[Entry]) -> DataFrame:
+def place_entries(mapping: DataFrame, headers: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The entries of the given forms, keyed by ``mapping``; ``place`` is where the form has the
+    source column (from 1), 0 where it lacks it. The expression grows with the headers only."""
+    columns = F.create_map(*[
+        c for form, names in headers.items() for c in (F.lit(form), F.lit(list(names)).cast("array<string>"))])
+    return mapping.select(
+        F.col("dict_row").cast("bigint").alias("mapping"), *COLUMNS[:-1],
+        F.array_position(F.try_element_at(columns, F.col("source_form")), F.col("source_var")).cast("int").alias("place"),
+    ).where(F.col("place").isNotNull())
+
+
+def fed_columns(placed: DataFrame) -> dict[str, set[str]]:
+    """Forms the dictionary names, each with the columns it maps: at most what the headers hold."""
+    found: dict[str, set[str]] = {}
+    for form, name in placed.select("source_form", F.when(F.col("place") > 0, F.col("source_var"))).distinct().collect():
+        found.setdefault(form, set()).update([name] if name is not None else [])
+    return found
+
+
+def form_coverage(forms: Iterable[str], mapping: DataFrame) -> DataFrame:
     """Forms no entry mentions (``unmapped``) and mentioned forms that do not exist
     (``missing``); names compare in any case, README is not a form."""
-    def frame(names):
-        return spark.createDataFrame([(n.upper(),) for n in names], "form string").distinct()
-
-    have, want = frame(forms).where(F.col("form") != "README"), frame(m.source_form for m in mapping)
+    have = mapping.sparkSession.createDataFrame([(n.upper(),) for n in forms], "form string").distinct()
+    have, want = have.where(F.col("form") != "README"), mapping.select(F.upper("source_form").alias("form")).distinct()
     return have.join(want, "form", "left_anti").withColumn("status", F.lit("unmapped")).unionByName(
         want.join(have, "form", "left_anti").withColumn("status", F.lit("missing")))
 
 
-def empty_domains(rows: DataFrame, mapping: Iterable[Entry]) -> DataFrame:
+def empty_domains(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     """Domains the dictionary names but the unpivoted rows lack."""
-    names = sorted({m.domain for m in mapping})
-    wanted = rows.sparkSession.createDataFrame([(n,) for n in names], "domain string")
-    return wanted.join(rows.select("domain").distinct(), "domain", "left_anti")
+    return mapping.select("domain").distinct().join(rows.select("domain").distinct(), "domain", "left_anti")

@@ -2,29 +2,30 @@
 
 A source row is first packed: its mapped, non-blank cells become one array. Numbering
 happens on packed rows (one per source row, not one per cell), then the arrays are
-exploded. Labels and variable names are joined last from the dictionary, so they never
+exploded. Which cells a domain takes from a form is a row of a frame, not a part of the plan. Labels and variable names are joined last from the dictionary, so they never
 travel through a shuffle.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortweave.functions.text import blank_to_null, has_text
-from cohortweave.operators.dictionary import Entry, entries_frame
+from cohortweave.operators.dictionary import Entry, fed_columns, place_entries
 from cohortweave.operators.sequence import nulls_last, sequence_within
 from cohortweave.schema import STUDY_A, STUDY_B
+from cohortweave.sources.store import cut_lineage
 
 ROW = "source_row_number"
 
 # STUDY_B domains that carry a visit number.
 STUDY_B_VISIT_DOMAINS = frozenset({"LB", "PE", "SV", "BE", "BS", "VS", "MH", "CM"})
 
+FORM_PARTS = 32  # a form's rows are dealt out, so that a join by form never meets one hot key
 CELLS = "array<struct<mapping:int,value:string>>"
 
 
@@ -44,49 +45,40 @@ def mapped_cells(df: DataFrame, mapping: Iterable[Entry]) -> Column:
     return F.filter(F.array(*cells), lambda c: has_text(c["value"])).cast(CELLS)
 
 
-def visit_column(df: DataFrame, study: str, domain: str) -> str | None:
-    if study == STUDY_A:
-        return next((c for c in ("visit_num", "visit") if c in df.columns), None)
-    return "visitnum" if domain in STUDY_B_VISIT_DOMAINS and "visitnum" in df.columns else None
-
-
-def pack_form(df: DataFrame, mapping: Sequence[Entry], study: str) -> DataFrame:
-    """One row per source row and domain that has at least one cell, from one scan of the
-    form whatever number of domains it feeds."""
+def form_rows(df: DataFrame, form: str, fed: Collection[str], study: str) -> DataFrame:
+    """A form's rows with all columns of its header as one array of texts, so that an entry finds its
+    cell by place; columns no entry maps are not read."""
     if ROW not in df.columns:
         raise KeyError(f"a form needs the column {ROW}")
-    by_domain: dict[str, list[Entry]] = {}
-    for m in mapping:
-        by_domain.setdefault(m.domain, []).append(m)
-    shares = [
-        F.struct(
-            F.lit(domain).alias("domain"), F.lit(rows[0].ordinal).alias("form_order"),
-            blank_to_null(column_or_null(df, visit_column(df, study, domain))).alias("visitnum"),
-            mapped_cells(df, rows).alias("cells"))
-        for domain, rows in by_domain.items()]
+    names, none = header(df), F.lit(None).cast("string")
+
+    def text(name: str) -> Column:
+        return F.col(f"`{name}`").cast("string") if name in names else none
+
+    visits = ("visit_num", "visit") if study == STUDY_A else ("visitnum",)
     return df.select(
-        column_or_null(df, "studyid").alias("studyid"), column_or_null(df, "subjid").alias("subjid"),
-        (column_or_null(df, "scrno") if study == STUDY_A else F.lit(None).cast("string")).alias("scrno"),
-        F.lit(mapping[0].source_form).alias("source_form"), F.col(ROW).cast("bigint").alias(ROW),
-        F.inline(F.array(*shares)),
-    ).where(F.size("cells") > 0)
+        text("studyid").alias("studyid"), text("subjid").alias("subjid"),
+        (text("scrno") if study == STUDY_A else none).alias("scrno"),
+        F.lit(form).alias("source_form"), F.col(ROW).cast("bigint").alias(ROW),
+        blank_to_null(text(next((c for c in visits if c in names), visits[0]))).alias("visitnum"),
+        F.array(*[text(c) if c in fed else none for c in names]).cast("array<string>").alias("values"))
+
+
+def header(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c != ROW]
 
 
-def ie_sequence(columns: Sequence[str], mapping: Iterable[Entry], study: str) -> dict[int, int]:
-    """Sequence number of eligibility columns: the column's place in the form (STUDY_A),
-    or the place of its criterion, ``in1``, ``ex2``, ..., by first appearance (STUDY_B)."""
-    wanted = {m.source_var for m in mapping}
-    number: dict[str, int] = {}
-    criteria: dict[str, int] = {}
-    for place, column in enumerate((c for c in columns if c != ROW), start=1):
-        if column not in wanted:
-            continue
-        if study == STUDY_B:
-            prefix = re.match(r"(in|ex)\d+", column)
-            number[column] = criteria.setdefault(prefix[0] if prefix else column, len(criteria) + 1)
-        else:
-            number[column] = place
-    return {m.ordinal: number[m.source_var] for m in mapping if m.source_var in number}
+def ie_sequence(placed: DataFrame, study: str) -> DataFrame:
+    """``ie_seq`` of eligibility columns: the column's place in the form (STUDY_A), or the
+    place of its criterion, ``in1``, ``ex2``, ..., by first appearance (STUDY_B)."""
+    known = placed.where(F.col("place") > 0)
+    number = F.col("place")
+    if study == STUDY_B:
+        prefix = F.regexp_extract("source_var", r"^(?:in|ex)[0-9]+", 0)
+        own = Window.partitionBy("source_form", "domain", F.when(prefix != "", prefix).otherwise(F.col("source_var")))
+        known = known.withColumn("first_place", F.min("place").over(own))
+        number = F.dense_rank().over(Window.partitionBy("source_form", "domain").orderBy("first_place"))
+    return known.withColumn("ie_seq", F.when(F.col("domain") == "IE", number)).drop("first_place", "place")
 
 
 def number_rows(packed: DataFrame) -> DataFrame:
@@ -121,31 +113,48 @@ def explode_cells(packed: DataFrame, mapping: DataFrame) -> DataFrame:
     ).select("*", "cell.mapping", "cell.value").drop("cell").join(mapping, "mapping")
 
 
-def _by_form(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str) -> dict[str, list[Entry]]:
-    by_form: dict[str, list[Entry]] = {}
-    for m in mapping:
-        if m.source_form in forms:
-            by_form.setdefault(m.source_form, []).append(m)
-    if not by_form:
-        raise ValueError(f"no form of {study} is named in the dictionary")
-    return by_form
+def placed_entries(forms: Mapping[str, DataFrame], mapping: DataFrame) -> DataFrame:
+    """The entries of these forms, staged: their keys stay the same in both joins, and the planner
+    knows their size, so that it broadcasts a dictionary and shuffles what is too large to be one."""
+    return cut_lineage(place_entries(mapping, {form: header(df) for form, df in forms.items()}))
 
 
-def pack_forms(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str) -> DataFrame:
+def pack_forms(forms: Mapping[str, DataFrame], mapping: DataFrame, study: str) -> DataFrame:
     """The packed rows of all mapped forms that exist; enough to see which domains have any."""
-    return reduce(DataFrame.unionByName, [
-        pack_form(forms[form], rows, study) for form, rows in _by_form(forms, mapping, study).items()])
+    return _packed(forms, placed_entries(forms, mapping), study)
 
 
-def unpivot_forms(forms: Mapping[str, DataFrame], mapping: Sequence[Entry], study: str) -> DataFrame:
-    """All mapped forms that exist to numbered rows, one per recorded cell."""
-    by_form = _by_form(forms, mapping, study)
-    packed, ie_seq = pack_forms(forms, mapping, study), {}
-    for form, rows in by_form.items():
-        ie_seq.update(ie_sequence(forms[form].columns, [m for m in rows if m.domain == "IE"], study))
+def _packed(forms: Mapping[str, DataFrame], placed: DataFrame, study: str) -> DataFrame:
+    """One row per source row and domain that has at least one cell, from one scan of each form the
+    dictionary names whatever number of domains it feeds. ``placed``, grouped to one row per form
+    and domain, is joined by form and part of the form, broadcast or not."""
+    fed = fed_columns(placed)
+    if not fed:
+        raise ValueError(f"no form of {study} is named in the dictionary")
+    rows = reduce(DataFrame.unionByName, [form_rows(forms[form], form, fed[form], study) for form in sorted(fed)])
+    wanted = placed.groupBy("source_form", "domain").agg(
+        F.min("mapping").alias("form_order"),
+        F.sort_array(F.collect_list(F.when(F.col("place") > 0, F.struct("mapping", "place")))).alias("wanted"),
+    ).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(FORM_PARTS - 1))))
+    cells = F.filter(
+        F.transform("wanted", lambda w: F.struct(
+            w["mapping"].alias("mapping"), F.get("values", w["place"] - 1).alias("value"))),
+        lambda c: has_text(c["value"]))
+    visit = F.col("visitnum")
+    if study == STUDY_B:
+        visit = F.when(F.col("domain").isin(*sorted(STUDY_B_VISIT_DOMAINS)), visit)
+    part = F.pmod(F.xxhash64(ROW), F.lit(FORM_PARTS)).cast("int")
+    return rows.withColumn("part", part).join(wanted, ["source_form", "part"]).select(
+        "studyid", "subjid", "scrno", "source_form", ROW, "domain", "form_order",
+        visit.alias("visitnum"), cells.alias("cells"),
+    ).where(F.size("cells") > 0)
+
 
-    known = entries_frame(packed.sparkSession, (m for rows in by_form.values() for m in rows), ie_seq=ie_seq)
-    rows = explode_cells(assign_seqnum(number_rows(packed)), known)
+def unpivot_forms(forms: Mapping[str, DataFrame], mapping: DataFrame, study: str) -> DataFrame:
+    """All mapped forms that exist to numbered rows, one per recorded cell."""
+    placed = placed_entries(forms, mapping)
+    packed = _packed(forms, placed, study)
+    rows = explode_cells(assign_seqnum(number_rows(packed)), ie_sequence(placed, study))
     return rows.select(
         (F.col("cells_before") + F.col("cell_no") + 1).alias("row_id"),
         "studyid", "subjid", "scrno", "domain", "standard_var", "standard_label", "value",

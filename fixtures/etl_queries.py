@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.operators import checks
-from cohortweave.operators.dictionary import empty_domains, entries, study_dictionary
+from cohortweave.operators.dictionary import empty_domains, study_dictionary
 from cohortweave.operators.load import (
     build_linkage, normalise_columns, route_rows, skipped_sheets, usable, with_source_study,
 )
@@ -54,7 +54,7 @@ def manual_linkage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def no_rows(spark: SparkSession, sf: str) -> DataFrame:
-    mapping = entries(study_dictionary(spark_dictionary(spark), STUDY_A))
+    mapping = study_dictionary(spark_dictionary(spark), STUDY_A)
     forms = {name.upper(): df for name, df in _forms(spark, sf, **_A_FORMS).items()}
     return empty_domains(pack_forms(forms, mapping, STUDY_A), mapping)
 

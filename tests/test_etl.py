@@ -1,17 +1,20 @@
 """Dictionary, unpivoting, loading and checks on small frames."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from cohortweave.operators import checks
 from cohortweave.operators.dictionary import (
-    dedupe_dictionary, empty_domains, entries, first_mapping, form_coverage, normalise_dictionary, study_dictionary,
+    dedupe_dictionary, empty_domains, entries, first_mapping, form_coverage, normalise_dictionary,
+    place_entries, study_dictionary,
 )
 from cohortweave.operators.load import (
     normalise_columns, route_domain, route_rows, skipped_sheets, to_facts, usable,
 )
 from cohortweave.operators.pivot import eav_pivot
-from cohortweave.operators.unpivot import ie_sequence
+from cohortweave.operators.unpivot import ie_sequence, pack_forms
 from cohortweave.plans import etl
 from cohortweave.schema import STUDIES, domain_registry
 from fixtures.wide_data import DICTIONARY_COLUMNS, spark_dictionary, spark_form
@@ -61,8 +64,8 @@ def test_extras_need_the_domain(spark):
 
 
 def test_form_coverage(spark):
-    mapping = entries(study_dictionary(spark_dictionary(spark), "STUDY_A"))
-    assert rows(form_coverage(spark, ["ae", "Sae", "readme", "spare"], mapping), "form", "status") == [
+    mapping = study_dictionary(spark_dictionary(spark), "STUDY_A")
+    assert rows(form_coverage(["ae", "Sae", "readme", "spare"], mapping), "form", "status") == [
         ("SPARE", "unmapped"), ("IE", "missing"), ("GONE", "missing")]
 
 
@@ -100,15 +103,40 @@ def test_pivot_undoes_unpivot(spark, sf_dir):
     assert rows(back, *columns) == rows(blank, *columns)
 
 
-def test_ie_sequences():
-    class M:
-        def __init__(self, ordinal, source_var):
-            self.ordinal, self.source_var = ordinal, source_var
+def test_ie_sequences(spark):
+    lines = [("IE", "V", "v", "F", v) for v in ("b", "ex1", "in1x", "in1", "gone", "in12")] + [("DM", "V", "v", "F", "ex1")]
+    columns = ["studyid", "in1", "b", "in1x", "in12", "ex1"]
+
+    def numbers(study):
+        placed = place_entries(study_dictionary(dictionary(spark, study, *lines), study), {"F": columns})
+        return {r.mapping: r.ie_seq for r in ie_sequence(placed, study).collect() if r.mapping < 100}
+
+    assert numbers("STUDY_A") == {3: 2, 0: 3, 2: 4, 5: 5, 1: 6, 6: None}
+    assert numbers("STUDY_B") == {3: 1, 0: 2, 2: 1, 5: 3, 1: 4, 6: None}
+
+
+def test_forms_without_mapped_columns_or_names(spark):
+    raw = dictionary(spark, "STUDY_A", ("AE", "T", "t", "aa", "t"), ("AE", "T", "t", "bb", "t"))
+    forms = {"aa": form(spark, ["subjid", "t", "u"], ("s", "x", "y")), "bb": form(spark, ["subjid"], ("s",)),
+             "cc": form(spark, ["subjid", "t"], ("s", "z"))}
+    assert rows(etl.process_forms("STUDY_A", raw, forms), "source_form", "value") == [("AA", "x")]
+    with pytest.raises(ValueError, match="no form"):
+        etl.process_forms("STUDY_A", raw, {"cc": forms["cc"]})
+
 
-    mapping = [M(0, "b"), M(1, "ex1"), M(2, "in1x"), M(3, "in1"), M(4, "gone"), M(5, "in12")]
-    columns = ["source_row_number", "studyid", "in1", "b", "in1x", "in12", "ex1"]
-    assert ie_sequence(columns, mapping, "STUDY_A") == {3: 2, 0: 3, 2: 4, 5: 5, 1: 6}
-    assert ie_sequence(columns, mapping, "STUDY_B") == {3: 1, 0: 2, 2: 1, 5: 3, 1: 4}
+def test_one_scan_a_form_and_no_plan_that_grows_with_the_dictionary(spark, tmp_path):
+    """A thousand entries for two columns: the plan holds one scan, the two columns and one join."""
+    path = str(tmp_path / "wide")
+    form(spark, ["subjid", "t", "u", "spare"], ("s", "x", "y", "z")).write.parquet(path)
+    packed = {n: pack_forms({"AA": spark.read.parquet(path)}, study_dictionary(dictionary(spark, "STUDY_A", *[
+        (f"D{i % 7}", f"V{i}", "l", "aa", "tu"[i % 2]) for i in range(n)]), "STUDY_A"), "STUDY_A") for n in (10, 1000)}
+    plans = {n: df._jdf.queryExecution().executedPlan() for n, df in packed.items()}
+    for plan in plans.values():
+        read = [re.sub(r"#\d+L?", "", scan) for scan in re.findall(r"FileScan parquet \[(.*?)\]", plan.toString())]
+        assert read == ["source_row_number,subjid,t,u", "mapping,domain,source_form,place"]
+        assert plan.toString().count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan.toString()
+    assert plans[10].toString().count("\n") == plans[1000].toString().count("\n")
+    assert packed[1000].select(F.sum(F.size("cells"))).first()[0] == 1000
 
 
 def record_dictionary(spark):
@@ -225,7 +253,7 @@ def test_checks_find_violations(spark):
 
 
 def test_empty_domain_report(spark):
-    mapping = entries(study_dictionary(spark_dictionary(spark), "STUDY_B"))
+    mapping = study_dictionary(spark_dictionary(spark), "STUDY_B")
     got = spark.createDataFrame([("MH",)], "domain string")
     assert rows(empty_domains(got, mapping)) == [("IE",), ("DM",)]
 
