@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,6 +21,11 @@ BATCH = "batch"
 #: A Bloom filter of each row group's subjects, as large as they need: a read of one subject skips the groups without it.
 SUBJECT_FILTER = {"parquet.bloom.filter.enabled#subject_key": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
+#: Shuffled bytes that a task of a batch's write sorts: about 700,000 facts. Tasks of the usual 64 MB are few and uneven,
+#: so cores wait for the last ones, and what they sort fits no cache.
+WRITE_BYTES = 16 << 20
+TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it for checkpoints. Only a
@@ -50,13 +57,28 @@ def batch_folder(path: str, batch: str) -> str:
     return f"{path}/{BATCH}={batch}"
 
 
+@contextmanager
+def _tasks_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """AQE cuts rebalanced rows into tasks of ``size`` shuffled bytes at most inside the ``with``; a smaller size of the session holds."""
+    own = spark.conf.get(TASK_BYTES, None)
+    number, unit = re.fullmatch(r"(\d+)([kmg]?)b?", str(own or size).lower()).groups()
+    spark.conf.set(TASK_BYTES, min(size, int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit]))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(TASK_BYTES)
+        else:
+            spark.conf.set(TASK_BYTES, own)
+
+
 def write_facts(facts: DataFrame, path: str, batch: str = "first") -> dict[str, int]:
     """Store a batch of facts: one directory per batch and in it per (domain, study), sorted by variable and
     subject so that row-group statistics skip reads of one variable, and a Bloom filter reads of one subject.
 
     Other batches stay as they are. A batch is written as a whole: writing it again replaces all of it, also what the
     new rows have no domain for. The rebalance hint lets AQE size the files
-    (``advisoryPartitionSizeInBytes``): a domain or study holding most of the data is split
+    (``WRITE_BYTES``): a domain or study holding most of the data is split
     over many tasks and files, small ones share a task.
 
     Returns what was seen of the stored rows on their way (no second scan): their number, and how many break the
@@ -69,9 +91,10 @@ def write_facts(facts: DataFrame, path: str, batch: str = "first") -> dict[str,
              "not_in_registry": F.count_if(~known)}
     seen = Observation(f"batch-{uuid.uuid4().hex}")
     checked = out.observe(seen, *[rule.alias(name) for name, rule in rules.items()])
-    (checked.hint("rebalance", *PARTITIONS)
-        .sortWithinPartitions(*PARTITIONS, "standard_var", "subject_key")
-        .write.mode("overwrite").options(**SUBJECT_FILTER).partitionBy(*PARTITIONS).parquet(batch_folder(path, batch)))
+    with _tasks_of(facts.sparkSession, WRITE_BYTES):
+        (checked.hint("rebalance", *PARTITIONS)
+            .sortWithinPartitions(*PARTITIONS, "standard_var", "subject_key")
+            .write.mode("overwrite").options(**SUBJECT_FILTER).partitionBy(*PARTITIONS).parquet(batch_folder(path, batch)))
     try:
         return seen.get
     except Py4JJavaError:  # written, but from a plan that Spark knew to have no rows: such a plan observes nothing
@@ -103,8 +126,9 @@ def after_stored(facts: DataFrame, stored: DataFrame) -> DataFrame:
     def low(column: str):
         return F.col(column) % F.lit(ID_SPAN)
 
+    # a row per directory of the store: broadcast, or every fact would be shuffled once more, by a few dozen keys
     last = stored.groupBy(*PARTITIONS).agg(F.max(low("fact_id")).alias("_last"))
-    return facts.join(last, PARTITIONS, "left").withColumn(
+    return facts.join(F.broadcast(last), PARTITIONS, "left").withColumn(
         "fact_id", F.col("fact_id") + F.coalesce("_last", F.lit(0))).drop("_last")
 
 

@@ -4,6 +4,7 @@ import pytest
 
 from cohortweave.operators.dictionary import entries, normalise_dictionary
 from cohortweave.plans import quality
+from cohortweave.sources import store
 from cohortweave.sources.forms import read_dictionary, read_forms, read_markdown
 from cohortweave.sources.store import (
     after_stored, cut_lineage, read_domains, read_facts, read_linkage, write_domains, write_facts, write_linkage,
@@ -57,6 +58,33 @@ def test_store_round_trip_and_batches(spark, tmp_path):
         write_facts(first, path, "../other")
 
 
+def test_stored_ids_join_the_facts_without_moving_them(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    write_facts(facts(spark, *event("ae", 1, 1, AETERM="x")), path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the planner knows the size of neither side
+    try:
+        moved = after_stored(facts(spark, *event("ae", 2, 1, AETERM="z")), read_facts(spark, path))
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(moved, "fact_id") == [(2,)]
+
+
+def test_a_large_domain_is_written_by_many_small_tasks(spark, tmp_path, monkeypatch):
+    size = store.TASK_BYTES
+    many = spark.range(0, 40_000, 1, 8).selectExpr(
+        "'ae' AS domain", "id AS fact_id", "id % 1000 AS subject_key", "'STUDY_A' AS source_study", "'AETERM' AS standard_var",
+        "'Term' AS standard_label", "uuid() AS value", "CAST(NULL AS STRING) AS value_code", "1 AS seqnum", "CAST(1 AS DECIMAL(10,2)) AS visitnum")
+    monkeypatch.setattr(store, "WRITE_BYTES", 200_000)
+    own = spark.conf.get(size, None)
+    assert write_facts(many, str(tmp_path / "facts"))["n_rows"] == 40_000
+    assert spark.conf.get(size, None) == own
+    assert read_facts(spark, str(tmp_path / "facts")).select("fact_id").distinct().count() == 40_000
+    assert len(list((tmp_path / "facts").rglob("*.parquet"))) >= 4
+
+
 def test_writing_a_batch_tells_what_breaks_the_rules(spark, tmp_path):
     df = facts(spark, *event("ae", 9, 1, study="STUDY_C", AETERM="x"), dict(domain="dm", standard_var=None), *event("ae", 1, 1, AETERM="y"))
     seen = write_facts(df, str(tmp_path / "facts"))
