@@ -9,6 +9,7 @@ result equals the plain window; rows are shuffled once, whatever the numbers and
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -23,6 +24,8 @@ from cohortweave.sources.store import cut_lineage
 SPLIT_ABOVE = 500_000
 #: Sampled rows a part (their number, narrow rows on the driver, is bounded by it), and the most parts.
 SAMPLED, PARTS_MOST = 20, 4096
+#: Rows that a task sorts, about: with more rows there are more tasks, not larger ones.
+TASK_ROWS = 500_000
 
 # Where a row stands in its part: what earlier parts hand over, the rows, what later parts hand back.
 _HEAD, _BODY, _TAIL = 0, 1, 2
@@ -81,6 +84,7 @@ def sequence_within(
     fills: Mapping[str, Column] | None = None,
     split_above: int | None = None,
     parts: int | None = None,
+    together: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add columns computed over each group in ``order`` (ascending, nulls first; it should tell the rows of a group apart).
 
@@ -89,6 +93,8 @@ def sequence_within(
     ``fills``: name -> value; the value itself, else the nearest earlier non-null one,
     else the nearest later one.
     Null keys form a group like any other. ``df`` is evaluated once, into a staged table.
+    ``together``: some of the keys; unless a group is large, rows alike in these lie in one task, so that
+    groupings by these and other columns that follow move no rows.
     """
     before, fills = before or {}, fills or {}
     weight, value = {n: f"_w_{n}" for n in before}, {n: f"_v_{n}" for n in fills}
@@ -105,8 +111,11 @@ def sequence_within(
     if n > split_above:
         parts = parts or min(PARTS_MOST, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         large, cuts = _cuts(body, n, keys, places, parts)
+    tasks = 0
+    if n > TASK_ROWS:
+        tasks = max(math.ceil(n / TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if not cuts:
-        return _numbered(body, keys, places, kept, weight, value)
+        return _numbered(_dealt(body, tasks, together, keys), keys, places, kept, weight, value)
 
     body = body.withColumn("_part", _part(body, keys, places, large, cuts)).withColumn("_at", F.lit(_BODY))
     cell = [*keys, "_part"]
@@ -140,10 +149,17 @@ def sequence_within(
     if value:
         rows = rows.unionByName(
             extra(_TAIL, {v: f"{v}_first" for v in value.values()}), allowMissingColumns=True)
-    done = _numbered(rows, cell, ["_at", *places], [*kept, "_at"], weight, value)
+    done = _numbered(_dealt(rows, tasks, None, cell), cell, ["_at", *places], [*kept, "_at"], weight, value)
     return done.where(F.col("_at") == _BODY).drop("_at")
 
 
+def _dealt(rows: DataFrame, tasks: int, together: Sequence[str] | None, cell: Sequence[str]) -> DataFrame:
+    """``rows`` by ``together`` (null: by cell) in so many tasks; with 0, as many as the session says."""
+    if tasks and cell:
+        return rows.repartition(tasks, *(together or cell))
+    return rows.repartition(*together) if together else rows
+
+
 def _numbered(rows: DataFrame, cell: Sequence[str], order: Sequence[str], kept: Sequence[str],
               weight: Mapping[str, str], value: Mapping[str, str]) -> DataFrame:
     """The plain windows, inside each cell."""

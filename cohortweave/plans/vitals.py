@@ -30,13 +30,14 @@ def test_display(name: Column) -> Column:
 def positional_measurements(facts: DataFrame) -> DataFrame:
     """STUDY_A keeps test, result and unit in separate facts: the n-th of each kind
     within a subject's visit (null visit included) belong together; the unit may be
-    missing. One numbering and one pivot, no join."""
+    missing. One numbering and one pivot, no join; both where the visit's facts lie, after one shuffle."""
     kinds = domain(facts, "vs", STUDY_A, ["VSTEST", "VSORRES", "VSORRESU"])
     numbered = sequence_within(
         kinds.select("subject_key", "visitnum", "standard_var", "value", "fact_id"),
         keys=["subject_key", "visitnum", "standard_var"],
         order=["fact_id"],
-        before={"position": F.lit(1)})
+        before={"position": F.lit(1)},
+        together=["subject_key", "visitnum"])
     return eav_pivot(
         numbered, ["subject_key", "visitnum", "position"],
         {"test_name": "VSTEST", "result": "VSORRES", "unit": "VSORRESU"},
@@ -115,9 +116,9 @@ def vital_trends(subjects: DataFrame | None, facts: DataFrame, *, study: str | N
     if labelled:
         parts.append(_labelled_moments(facts, labelled))
 
-    moments = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    per_subject = moments.groupBy(*keys, "subject_key").agg(
-        *[F.sum(c).alias(c) for c in SUMS])
+    per_subject = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if labelled:  # a subject's rows of one label each; STUDY_A's are one already
+        per_subject = per_subject.groupBy(*keys, "subject_key").agg(*[F.sum(c).alias(c) for c in SUMS])
     sums = per_subject.groupBy(*keys).agg(
         F.sum("n").cast("bigint").alias("n_measurements"),
         F.count("subject_key").alias("n_subjects"),

@@ -226,3 +226,15 @@ def test_headline_without_enrolled_subjects(spark):
     people = subjects(spark, dict(subject_key=1))
     df = facts(spark, *event("ae", 1, 1, AETERM="x"))
     assert rows(shaping.ae_headline(people, df, study="STUDY_A")) == [(1, 0.0, 1, 0)]
+
+
+def test_paired_vitals_move_once(spark, monkeypatch):
+    from cohortweave.operators import sequence
+
+    df = facts(spark, *[row for s in range(1, 41) for row in event("vs", s, 1, "1", VSTEST="Weight", VSORRES=str(s), VSORRESU="kg")])
+    want = rows(vitals.vital_trends(None, df, study="STUDY_A"))
+    monkeypatch.setattr(sequence, "TASK_ROWS", 10)  # 120 facts: 12 tasks, whatever the session's number
+    pairs = vitals.positional_measurements(df)
+    assert pairs.rdd.getNumPartitions() == 12
+    assert pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    assert rows(vitals.vital_trends(None, df, study="STUDY_A")) == want

@@ -83,3 +83,13 @@ def test_input_is_evaluated_once(spark, tmp_path):
     assert done.count() == 500 and len(done.collect()) == 500
     assert counted.value == 500
     assert str(tmp_path) not in done._jdf.queryExecution().toString()
+
+
+def test_more_rows_are_more_tasks(spark, monkeypatch):
+    _, df = _frame(spark, 5)
+    want = {r["id"]: r["at"] for r in sequence_within(df, ["k", "visit"], ["id"], {"at": F.lit(1)}).collect()}
+    monkeypatch.setattr(sequence, "TASK_ROWS", 20)
+    for split_above in (None, 0):  # no group is large; large ones are cut
+        got = sequence_within(df, ["k", "visit"], ["id"], {"at": F.lit(1)}, split_above=split_above, parts=4)
+        assert got.rdd.getNumPartitions() == 15
+        assert {r["id"]: r["at"] for r in got.collect()} == want
