@@ -16,6 +16,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Texts are handled in slices of about so many bytes inside a task; a longer text is a slice of its own.
 SLICE_BYTES = 4_000_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Whole texts, or sets of their n-grams, in one Arrow batch: a few megabytes, not the tens of the usual 10,000 rows.
+TEXT_ROWS = 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,12 +35,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: it is computed
-    once, survives lost executors, and its size is known to the planner."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    once, survives lost executors, and its size is known to the planner. ``batch_rows``: rows of an Arrow batch on the
+    way (null: the session's), which both the JVM and the Python worker hold, several times over."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    own = spark.conf.get(ARROW_ROWS, None)
+    if batch_rows is not None:
+        spark.conf.set(ARROW_ROWS, batch_rows)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if batch_rows is not None and own is None:
+            spark.conf.unset(ARROW_ROWS)
+        elif batch_rows is not None:
+            spark.conf.set(ARROW_ROWS, own)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def staged_by(df: DataFrame, *keys: str) -> DataFrame:

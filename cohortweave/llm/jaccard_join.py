@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm.common import binary, mix, record_batch, slices, staged, table
+from cohortweave.llm.common import TEXT_ROWS, binary, mix, record_batch, slices, staged, table
 from cohortweave.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -123,7 +123,7 @@ def common_grams(sets: list[np.ndarray]) -> np.ndarray:
     shared = held[column] > 1
     owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1] if shared.any() else column[:0]
     out = np.zeros((len(sets), len(sets)), np.float32)
-    width = max(1, 4_000_000 // len(sets))
+    width = max(1, 1_000_000 // len(sets))
     for a in range(0, int(column.max()) + 1 if len(column) else 0, width):
         inside = (column >= a) & (column < a + width)
         part = np.zeros((len(sets), min(width, int(column.max()) + 1 - a)), np.float32)
@@ -211,7 +211,7 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     bands = bands_for(threshold, recall)
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("row"),
                         F.col("text").cast("string"))
-    signed = staged(keyed.mapInArrow(sign(bands, ROWS), SIGNED_DDL))
+    signed = staged(keyed.mapInArrow(sign(bands, ROWS), SIGNED_DDL), TEXT_ROWS)
     own = signed.filter(F.col("content").isNotNull())
     contents = own.groupBy("content").agg(F.count("*").alias("copies"), F.max("size").alias("size"),
                                           F.min_by(F.struct("doc_id", "row"), F.struct("doc_id", "row")).alias("at"),
@@ -231,7 +231,7 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
 
     texts = keyed.select(F.col("doc_id").alias("id"), F.col("row").alias("own"), "text").filter(F.col("text").isNotNull())
     sets = staged(texts.join(hubs.hint("merge"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("row")))
-                  .select("text", "node", "copies", "hub", "blocks").mapInArrow(full_sets, MEMBERS_DDL))
+                  .select("text", "node", "copies", "hub", "blocks").mapInArrow(full_sets, MEMBERS_DDL), TEXT_ROWS)
     dealt = (sets.select("node", "copies", "grams", "hubs", F.explode(F.arrays_zip("hubs", "blocks")).alias("in"))
              .select("node", "copies", "grams", "hubs", F.col("in.hubs").alias("hub"), F.col("in.blocks").alias("blocks"))
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
@@ -239,7 +239,7 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
         "hub", F.least("block", "with").alias("first"), F.greatest("block", "with").alias("second"),
         F.when(F.col("block") == F.col("with"), 2).when(F.col("block") < F.col("with"), 0).otherwise(1).alias("side"), "node", "copies", "grams", "hubs")
     verified = staged(pairs.repartition("hub", "first", "second").sortWithinPartitions("hub", "first", "second", "node")
-                      .mapInArrow(verify_groups(threshold), "node long, links long, root long"))
+                      .mapInArrow(verify_groups(threshold), "node long, links long, root long"), TEXT_ROWS)
 
     roots = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = (contents.select("content", "node", "copies", "at.doc_id")

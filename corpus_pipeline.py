@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.llm import decontamination, jaccard_join, packing, quality_rules, secrets
-from cohortweave.llm.common import binary, staged, table
+from cohortweave.llm.common import TEXT_ROWS, binary, staged, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -135,5 +135,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir))
+        docs = staged(stage(spark, docs, sf_dir), TEXT_ROWS)
     return STAGES[-1][1](spark, docs, sf_dir)

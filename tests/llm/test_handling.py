@@ -2,10 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortweave.llm import (decontamination, jaccard_join, language_id, packing, quality_classifier, quality_rules, ranked_search,
+from cohortweave.llm import (common, decontamination, jaccard_join, language_id, packing, quality_classifier, quality_rules, ranked_search,
                              scoring, secrets, sharding, spelling, substring_dedup)
 from tests.llm import brute
 
@@ -77,3 +78,15 @@ def test_no_rows(spark, rows, name):
     assert operator(docs.limit(0), benchmark.limit(0), labels.limit(0)).select(*columns).count() == 0
     if each:  # nothing to look for or to learn from
         assert operator(docs, benchmark.limit(0), labels.limit(0)).select(*columns).count() == 12
+
+
+def test_texts_pass_python_in_small_batches(spark):
+    own = spark.conf.get(common.ARROW_ROWS, None)
+    sizes = common.staged(spark.range(0, 50, 1, 2).mapInArrow(_batch_sizes, "n long"), 10)
+    assert sorted(r[0] for r in sizes.collect()) == [5, 5] + [10] * 4
+    assert spark.conf.get(common.ARROW_ROWS, None) == own
+
+
+def _batch_sizes(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
