@@ -2,12 +2,15 @@
 
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortweave.llm import embedding_dedup, ranked_search, spelling
+from cohortweave.llm import common, embedding_dedup, ranked_search, spelling
 from tests.llm import brute
 
 DOCS = "doc_id long, text string"
@@ -148,6 +151,53 @@ def test_variants_of_very_long_words_and_of_nothing(spark):
         assert not spelling.group_variants(spark.createDataFrame(none, DOCS)).collect()
 
 
+@pytest.mark.parametrize("deleted", [None, 3])
+@pytest.mark.parametrize("limit, characters", [(2, 10**9), (1000, 100), (1000, 10**9)])
+def test_words_are_counted_in_the_tasks(monkeypatch, deleted, limit, characters):
+    """A task hands on its different words, not a row for each run; pieces of a text end between words."""
+    monkeypatch.setattr(spelling, "SLICE", 40)
+    rows = [(i if i % 3 else None, "Ünder\u00d7 unde\u00ff\u0100alpha\U0001f600BETAS\u00a0gamma\u0085gamma\x1cgamma ſtraße İstanb " * 5) for i in range(40)]
+    rows += [(7, None), (8, ""), (9, " \n"), (10, "abcd efg")]
+    batch = pa.RecordBatch.from_arrays([pa.array(["" if d is None else str(d) for d, _ in rows]), pa.array([t for _, t in rows])], ["name", "text"])
+    got, made = Counter(), 0
+    for out in spelling.count_words(deleted, limit, characters)(iter([batch, batch])):
+        words = out.column(0).to_pylist()
+        assert len(words) == len(set(words))
+        got.update(dict(zip(words, out.column(1).to_pylist())))
+        made += len(words)
+    assert dict(got) == {w: n for w, _, _, n, _, _ in brute.variants(rows + rows, deleted)}
+    assert made == len(got) if limit > 2 and characters > 100 else made > len(got)
+
+
+def ddl(schema):
+    return ", ".join(f"{f.name} {({'int64': 'long', 'int32': 'int'}).get(str(f.type), 'string')}" for f in schema)
+
+
+def test_words_and_states_in_plans(spark):
+    """No row for a run, no lambda for a state's edges, and the trie stays where it lies."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    docs = spark.createDataFrame([(1, "alpha alphas alpine " * 3)], DOCS)
+    assert "Generate" not in plan(spelling.words_of(docs, 3))
+    words = spark.createDataFrame([(0, "alpha"), (1, "alphas"), (2, "alpine")], "id long, word string")
+    own = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(own, ("-1", "false")):
+            spark.conf.set(k, v)
+        with common.Buckets(spark) as buckets:
+            trie = buckets.staged(words.mapInArrow(spelling.edges, ddl(spelling.EDGES)), "node", distinct=True)
+            assert trie.count() == trie.distinct().count()
+            live = words.mapInArrow(spelling.starts_of(2), ddl(spelling.STARTS))
+            for joined in (spelling._edited(live, trie), spelling._stepped(spelling._edited(live, trie), trie)):
+                text = plan(joined)
+                assert "lambdafunction" not in text
+                assert text.count("Exchange") == len(re.findall(r"SortMergeJoin \[node#\d+L\], \[node#\d+L\], Inner", text)) > 0
+    finally:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+
+
 def test_variants_on_the_documents(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = spelling.op13_spelling_variants(spark, sf_dir).select("word", "form", "root", "n", "n_near", "form_n")
